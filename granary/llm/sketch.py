@@ -1,0 +1,76 @@
+"""Hash tables of fixed size that count over all rows: bounded whatever the input."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+CHUNK_BITS = 16
+SALTS = 64
+
+
+def _pack(a: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+
+
+def _unpack(b: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b, max_output_size=4 << CHUNK_BITS), dtype=np.uint32)
+
+
+def _sum(key: list[str], salted: bool):
+    def run(t: pa.Table) -> pa.Table:
+        total = np.zeros(1 << CHUNK_BITS, np.uint32)
+        for b in t.column("packed"):
+            total += _unpack(b.as_py())
+        out = {"chunk": [t.column("chunk")[0].as_py()], "salt": [t.column("salt")[0].as_py() if salted else 0], "packed": [_pack(total)]}
+        return pa.table(out, schema=pa.schema([("chunk", pa.int32()), ("salt", pa.int32()), ("packed", pa.binary())]))
+
+    return run
+
+
+def count_table(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
+    """Counts of 64-bit hashes over all rows of ``df`` in 2**bits cells, chosen by the top bits.
+
+    Every task counts into a table of its own; tables travel compressed in chunks and are added up in
+    two steps, so neither a task nor the driver holds more than a fixed number of bytes."""
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        counts = np.zeros(1 << bits, np.uint32)
+        some = False
+        for b in batches:
+            h = hashes(b)
+            if len(h):
+                some = True
+                np.add.at(counts, (h >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+        if some:
+            part = TaskContext.get().partitionId() % SALTS
+            for c, a in enumerate(counts.reshape(-1, 1 << CHUNK_BITS)):
+                if a.any():
+                    yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "salt": pa.array([part], pa.int32()), "packed": pa.array([_pack(a)], pa.binary())})
+
+    schema = "chunk int, salt int, packed binary"
+    parts = df.mapInArrow(tables, schema)
+    once = parts.groupBy("chunk", "salt").applyInArrow(_sum(["chunk", "salt"], True), schema)
+    total = np.zeros(1 << bits, np.uint32)
+    for r in once.groupBy("chunk").applyInArrow(_sum(["chunk"], False), schema).select("chunk", "packed").toLocalIterator():
+        total[r.chunk << CHUNK_BITS : (r.chunk + 1) << CHUNK_BITS] = _unpack(bytes(r.packed))
+    return total
+
+
+def log_codes(counts: np.ndarray) -> np.ndarray:
+    """One byte for each cell, growing with the count."""
+    return np.minimum(255, np.round(8 * np.log2(1.0 + counts))).astype(np.uint8)
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """Finish a 64-bit hash so that all bits depend on all."""
+    h = h ^ (h >> np.uint64(31))
+    h = h * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
