@@ -5,11 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.llm import langid, quality
 from granary.llm import near_duplicates as near
 from granary.llm import repeated_lines as rep
 from granary.session import read_table
 
 
+def _models(spark: SparkSession, sf: str):
+    return langid.fit(read_table(spark, sf, "lang_samples"))
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    df, langs = read_table(spark, sf, "data_pipeline"), read_table(spark, sf, "languages")
+    return langid.wrong_labels(df, _models(spark, sf), langs).select("rec_id", F.col("seg_no"), "lang")
+
+
+def p1_languages(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.analyse(read_table(spark, sf, "data_pipeline"), _models(spark, sf))
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.text_quality(read_table(spark, sf, "data_pipeline"), _models(spark, sf)).where("kind is not null").select("rec_id", "kind")
+
+
+def p3_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.text_quality(read_table(spark, sf, "data_pipeline"), _models(spark, sf))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return rep.repeated_places(read_table(spark, sf, "data_pipeline"))
 
@@ -28,7 +50,7 @@ def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p4_found, p4_cleaned, p5_found, p5_groups)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups)}
 
 
 def oracle_sql() -> dict[str, str]:
