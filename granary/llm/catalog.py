@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import langid, quality
+from granary.llm import langid, mixing, packing, quality, token_budget
 from granary.llm import near_duplicates as near
 from granary.llm import repeated_lines as rep
 from granary.session import read_table
@@ -24,6 +24,16 @@ def p1_languages(spark: SparkSession, sf: str) -> DataFrame:
     return langid.analyse(read_table(spark, sf, "data_pipeline"), _models(spark, sf))
 
 
+def p2_budget(spark: SparkSession, sf: str) -> DataFrame:
+    df, models = read_table(spark, sf, "data_pipeline"), _models(spark, sf)
+    return token_budget.budget(df, models, token_budget.fit(df, models))
+
+
+def p2_errors(spark: SparkSession, sf: str) -> DataFrame:
+    df, models = read_table(spark, sf, "data_pipeline"), _models(spark, sf)
+    return token_budget.errors(df, models, token_budget.fit(df, models))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return quality.text_quality(read_table(spark, sf, "data_pipeline"), _models(spark, sf)).where("kind is not null").select("rec_id", "kind")
 
@@ -49,8 +59,26 @@ def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
     return near.groups(near.near_duplicates(read_table(spark, sf, "data_pipeline"))).withColumnRenamed("id", "rec_id")
 
 
+def p6_packed(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf, "documents"), read_table(spark, sf, "pack_sizes"))
+
+
+def p6_report(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.report(p6_packed(spark, sf))
+
+
+def p7_mix(spark: SparkSession, sf: str) -> DataFrame:
+    sized = mixing.sized_sources(read_table(spark, sf, "documents"))
+    return mixing.mix(sized, read_table(spark, sf, "mix_targets")).withColumnRenamed("id", "doc_id")
+
+
+def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
+    sized, targets = mixing.sized_sources(read_table(spark, sf, "documents")), read_table(spark, sf, "mix_targets")
+    return mixing.shares(mixing.mix(sized, targets), sized, targets)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_languages, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p7_mix, p7_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
