@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import langid, mixing, packing, quality, token_budget
+from granary.llm import garbled, langid, mixing, packing, quality, token_budget
 from granary.llm import near_duplicates as near
 from granary.llm import repeated_lines as rep
 from granary.session import read_table
@@ -77,8 +77,18 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.mix(sized, targets), sized, targets)
 
 
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    found = garbled.find_garbled(read_table(spark, sf, "documents"), garbled.fit(read_table(spark, sf, "lang_samples")))
+    return found.documents().withColumnRenamed("id", "doc_id")
+
+
+def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
+    df, model = read_table(spark, sf, "documents"), garbled.fit(read_table(spark, sf, "lang_samples"))
+    return garbled.restore(df, garbled.find_garbled(df, model), model)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p7_mix, p7_shares)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p7_mix, p7_shares, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
