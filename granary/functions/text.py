@@ -1,4 +1,4 @@
-"""Scalar text functions. Everything but NFKC runs inside the JVM."""
+"""Scalar text functions. Everything but normalisation runs inside the JVM."""
 
 from __future__ import annotations
 
@@ -14,23 +14,23 @@ WS = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3
 SHINGLE_WORDS = 5
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: t if t is None or unicodedata.is_normalized("NFKC", t) else unicodedata.normalize("NFKC", t))
-
+def _normal(t: str | None) -> str | None:
+    if t is None:
+        return None
+    if not unicodedata.is_normalized("NFKC", t):
+        t = unicodedata.normalize("NFKC", t)
+    return " ".join(t.split())
 
-def nfkc(c: Column) -> Column:
-    """NFKC form; null stays null."""
-    return _nfkc(c)
 
-
-def collapse_space(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, WS + "+", " "), "^ | $", "")
+@F.pandas_udf(T.StringType())
+def _normalize(s: pd.Series) -> pd.Series:
+    return s.map(_normal)
 
 
 def normalize_text(c: Column) -> Column:
-    """NFKC, white space runs to one space, trimmed; letter case kept. Null stays null."""
-    return collapse_space(nfkc(c))
+    """NFKC, white space runs to one space, trimmed; letter case kept. Null stays null. There is no NFKC in the
+    JVM's functions, so the text crosses to Python once, in Arrow batches, and is finished there."""
+    return _normalize(c)
 
 
 def strip(c: Column) -> Column:
@@ -50,7 +50,10 @@ def words(norm: Column) -> Column:
 def shingles(norm: Column, k: int = SHINGLE_WORDS) -> Column:
     """Distinct runs of k words; a shorter text gives itself, an empty one nothing."""
     w = words(norm)
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.concat_ws(" ", F.slice(w, i, k)))
+    n = F.greatest(F.size(w) - (k - 1), F.lit(0))
+    # Parallel slices, so that the words are not split again for each run.
+    rows = F.arrays_zip(*[F.slice(w, i + 1, n).alias(f"w{i}") for i in range(k)])
+    runs = F.transform(rows, lambda r: F.concat_ws(" ", *[r.getField(f"w{i}") for i in range(k)]))
     return F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < k, F.array(norm)).otherwise(F.array_distinct(runs))
 
 
