@@ -76,6 +76,11 @@ def _normal(source: str) -> str:
     n AS (SELECT doc_id, trim(regexp_replace(x, '{_ws()}+', ' ', 'g'), ' ') AS n FROM (SELECT * FROM plain UNION ALL SELECT * FROM folded))"""
 
 
+def normal_sql(source: str) -> str:
+    """``_normal`` with the white space class filled in, for other catalogs."""
+    return _normal(source).replace("{WS}", _ws())
+
+
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, sf, "documents")
 
