@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import garbled, langid, mixing, packing, quality, token_budget
+from granary.llm import garbled, langid, mixing, packing, quality, sql, token_budget
 from granary.llm import near_duplicates as near
 from granary.llm import repeated_lines as rep
 from granary.session import read_table
@@ -92,4 +92,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from granary.plans.catalog import normal_sql
+
+    return {"p4_found": sql.P4_FOUND, "p4_cleaned": sql.P4_CLEANED, "p5_found": sql.p5_found(normal_sql("(SELECT rec_id AS doc_id, text FROM data_pipeline WHERE text IS NOT NULL)"))}
