@@ -109,7 +109,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str = "text", lanes: int =
 def band_buckets(sig: DataFrame, threshold: float = 0.8, lanes: int = LANES) -> DataFrame:
     """(ord, bucket): one bucket for each band of a signature."""
     b, r = lsh_layout(threshold, lanes)
-    bands = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda i: F.xxhash64(i, F.array_join(F.slice("sig", i * r + 1, r).cast("array<string>"), ",")))
+    bands = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda i: F.xxhash64(i, F.slice("sig", i * r + 1, r)))
     return sig.select(F.col("id").alias("ord"), F.explode(bands).alias("bucket"))
 
 
@@ -119,6 +119,7 @@ def greedy_first(members: DataFrame) -> DataFrame:
     Rounds over (ord, bucket): an id falls as soon as a kept one with a lesser id is in one of its buckets, and
     stays as soon as it is the least open one in all of them. Rows of decided buckets leave, each round is a
     table in the shared folder, and the number of rounds is the length of the longest chain of decisions."""
+    members = materialize(members, "members")
     multi = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     open_ = materialize(members.join(multi, "bucket", "left_semi").distinct().withColumn("kept", F.lit(False)), "greedy")
     dropped = None

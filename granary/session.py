@@ -30,8 +30,20 @@ def build_session(app: str = "granary", master: str | None = None, **conf: str)
     return b.getOrCreate()
 
 
+# Tables of texts: their rows cost far more to process than to move.
+TEXT_TABLES = ("data_pipeline", "documents")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where the scan gives fewer partitions than half of them, as a file of one row group
+    does; a table with enough splits is not moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def shared_dir(spark: SparkSession) -> str:
