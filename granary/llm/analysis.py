@@ -92,6 +92,14 @@ def _items_in_row(line: str) -> int:
     return len(parts) if len(parts) >= MIN_INLINE_RUN and good >= 0.8 * len(parts) else 0
 
 
+def _few_words(a: Analysis, lo: int, lines: list[int]) -> bool:
+    """Do four words make up most of at least twelve words of these lines?"""
+    own: list[int] = []
+    for i in lines:
+        own += a.ids[a.word_first[lo + i] : a.word_first[lo + i + 1]].tolist()
+    return len(own) >= 12 and len(set(own)) <= 0.6 * len(own) and sum(c for _, c in Counter(own).most_common(4)) > TOP4_SHARE * len(own)
+
+
 def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
     """Kind of text d ("list", "table", "junk", or None for prose) and its characters by kind.
 
@@ -159,15 +167,21 @@ def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
     for i in range(n):
         if not kind[i] and row[i] >= MIN_INLINE:
             kind[i] = "list"
-    # Junk.
+    # Junk: first what looks like a list but says the same few words again and again.
+    listed = [i for i in range(n) if kind[i] == "list"]
+    if listed and _few_words(a, lo, listed):
+        for i in listed:
+            kind[i] = "junk"
+    else:
+        for i in listed:
+            if words[i] >= 12 and _few_words(a, lo, [i]):
+                kind[i] = "junk"
     rest = [i for i in range(n) if not kind[i]]
     for i in rest:
         w, line = words[i], lines[i]
         if w >= 6 and known[i] >= KNOWN_SHARE * w:
-            if w >= 12:
-                own = a.ids[a.word_first[lo + i] : a.word_first[lo + i + 1]].tolist()
-                if len(set(own)) <= 0.6 * w and sum(c for _, c in Counter(own).most_common(4)) > TOP4_SHARE * w:
-                    kind[i] = "junk"
+            if w >= 12 and _few_words(a, lo, [i]):
+                kind[i] = "junk"
             continue
         chars = len(line) - line.count(" ")
         if w == 0:
