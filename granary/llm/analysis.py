@@ -97,6 +97,10 @@ def _few_words(a: Analysis, lo: int, lines: list[int]) -> bool:
     own: list[int] = []
     for i in lines:
         own += a.ids[a.word_first[lo + i] : a.word_first[lo + i + 1]].tolist()
+    return _repeats(own)
+
+
+def _repeats(own: list) -> bool:
     return len(own) >= 12 and len(set(own)) <= 0.6 * len(own) and sum(c for _, c in Counter(own).most_common(4)) > TOP4_SHARE * len(own)
 
 
@@ -169,7 +173,7 @@ def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
             kind[i] = "list"
     # Junk: first what looks like a list but says the same few words again and again.
     listed = [i for i in range(n) if kind[i] == "list"]
-    if listed and _few_words(a, lo, listed):
+    if listed and _repeats([w for i in listed for w in WORD.findall(TAIL.sub("", lines[i].strip()).lower())]):
         for i in listed:
             kind[i] = "junk"
     else:
