@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.functions.text import normalize_text, shingles, strip
+from granary.functions.text import strip, text_hash
+from granary.functions.wordruns import run_hashes
 from granary.session import materialize
 
 LANES = 128
@@ -31,8 +32,6 @@ def first_by_key(df: DataFrame, key: str, order: Column) -> DataFrame:
 def exact_first(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """Rows whose normalised text was not seen at a lesser id. Only ids and hashes are shuffled for the choice.
     Null texts are one text; ids must be unique."""
-    from granary.functions.text import text_hash
-
     hashed = df.select(F.col(id_col), text_hash(F.col(text_col)).alias("__h"))
     first = hashed.groupBy("__h").agg(F.min(id_col).alias("__id"))
     return df.join(first.select("__id"), F.col(id_col) == F.col("__id"), "left_semi")
@@ -40,8 +39,8 @@ def exact_first(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame
 
 def shingle_hashes(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """(id, items): distinct hashes of five-word runs; texts without words have no row."""
-    n = df.select(F.col(id_col).alias("id"), normalize_text(F.col(text_col)).alias("norm"))
-    return n.where("norm <> ''").select("id", F.transform(shingles(F.col("norm")), lambda x: F.xxhash64(x)).alias("items"))
+    some = df.where(F.length(strip(F.col(text_col))) > 0)
+    return some.select(F.col(id_col).alias("id"), run_hashes(F.col(text_col)).alias("items"))
 
 
 def jaccard_pairs(df: DataFrame, id_col: str, text_col: str = "text", threshold: Fraction = Fraction(4, 5)) -> DataFrame:
