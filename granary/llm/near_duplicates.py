@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -12,16 +11,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.text import SHINGLE_WORDS
-from granary.llm.sketch import count_table, log_codes, mix
+from granary.functions.wordruns import WordRuns, mix
+from granary.llm.sketch import count_table, log_codes
 from granary.session import materialize
 
 THRESHOLD = Fraction(4, 5)
 DF_BITS = 24
 NEED_BITS = 25
-CACHE_WORDS = 300_000
 SET_SCHEMA = "id long, c1 long, c2 long, n int, items binary"
-_ODD = np.random.default_rng(5).integers(1, 2**63, SHINGLE_WORDS, dtype=np.uint64) | np.uint64(1)
 
 
 def need(n: np.ndarray, t: Fraction = THRESHOLD) -> np.ndarray:
@@ -29,57 +26,13 @@ def need(n: np.ndarray, t: Fraction = THRESHOLD) -> np.ndarray:
     return -(-n * t.numerator // t.denominator)
 
 
-class _Sets:
-    """Texts to sets of hashed word runs, a batch at a time."""
-
-    def __init__(self, k: int = SHINGLE_WORDS):
-        self.k, self.cache = k, {}
-
-    def words(self, text: str) -> list[int]:
-        if not unicodedata.is_normalized("NFKC", text):
-            text = unicodedata.normalize("NFKC", text)
-        cache, out = self.cache, []
-        for w in text.split():
-            h = cache.get(w)
-            if h is None:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                h = cache[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-            out.append(h)
-        return out
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Items in order of text and value, each once in a text; first index of each text, and the end."""
-        k = self.k
-        per = [self.words(t) if t else [] for t in texts]
-        size = np.fromiter(map(len, per), np.int64, len(per))
-        flat = np.fromiter((h for p in per for h in p), np.uint64, int(size.sum()))
-        runs = np.where(size >= k, size - k + 1, np.minimum(size, 1))
-        doc = np.repeat(np.arange(len(per)), runs)
-        start = np.concatenate([[0], np.cumsum(size)])[:-1]
-        first = np.concatenate([[0], np.cumsum(runs)])[:-1]
-        at = np.arange(len(doc)) - first[doc] + start[doc]
-        width = np.minimum(size, k)[doc]
-        h = width.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        for j in range(k):
-            inside = width > j
-            h[inside] += flat[at[inside] + j] * _ODD[j]
-            h = mix(h) if j == k - 1 else h
-        order = np.lexsort((h, doc))
-        h, doc = h[order], doc[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-        h, doc = h[new], doc[new]
-        return h, np.searchsorted(doc, np.arange(len(per) + 1))
-
-
 def shingle_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, 128-bit hash of the set (c1, c2), its size and its sorted 64-bit items.
 
     Null texts and texts without words have no set and are left out, as are null ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _Sets()
+        sets = WordRuns()
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)

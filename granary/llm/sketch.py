@@ -67,10 +67,3 @@ def count_table(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], b
 def log_codes(counts: np.ndarray) -> np.ndarray:
     """One byte for each cell, growing with the count."""
     return np.minimum(255, np.round(8 * np.log2(1.0 + counts))).astype(np.uint8)
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    """Finish a 64-bit hash so that all bits depend on all."""
-    h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from granary.functions.wordruns import mix
 from granary.llm import near_duplicates as near
 from granary.llm import repeated_lines as rep
 from granary.llm import sketch
@@ -105,7 +106,7 @@ def test_no_texts(spark):
 
 def test_count_table(spark):
     df = spark.range(1000).selectExpr("id % 100 as x").repartition(5)
-    got = sketch.count_table(df, lambda b: sketch.mix(sketch.mix(b.column(0).to_numpy().astype(np.uint64) + np.uint64(1))), 18)
+    got = sketch.count_table(df, lambda b: mix(mix(b.column(0).to_numpy().astype(np.uint64) + np.uint64(1))), 18)
     assert got.sum() == 1000 and (got > 0).sum() <= 100 and got.max() >= 10
     assert sketch.count_table(df.where("false"), lambda b: np.zeros(b.num_rows, np.uint64), 16).sum() == 0
     assert pa.__version__
