@@ -83,14 +83,24 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+_shipped: set[str] = set()
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, for clusters that do not have it installed."""
+    """Make this package known to the Python workers of a session, once. Needed where it is neither installed on
+    the executors nor on their path; Spark sends the archive itself."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
     root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="granary-ship-"), "granary.zip")
+    folder = tempfile.mkdtemp(prefix="granary-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, "granary_package.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, files in os.walk(root):
+        for here, _, files in os.walk(root):
             for f in files:
                 if f.endswith(".py"):
-                    full = os.path.join(folder, f)
+                    full = os.path.join(here, f)
                     z.write(full, os.path.join("granary", os.path.relpath(full, root)))
     spark.sparkContext.addPyFile(target)
+    _shipped.add(app)

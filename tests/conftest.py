@@ -8,10 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from granary.session import build_session
+    from granary.session import build_session, ship
 
     s = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
+    ship(s)
     return s
 
 
