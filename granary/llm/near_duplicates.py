@@ -141,7 +141,7 @@ class NearDuplicates:
         x, y = m.select(F.col("id").alias("ia"), F.col("rep").alias("a")), m.select(F.col("id").alias("ib"), F.col("rep").alias("b"))
         across = self.links.select("a", "b").join(x, "a").join(y, "b").select(F.least("ia", "ib").alias("rec_id_a"), F.greatest("ia", "ib").alias("rec_id_b"))
         within = x.join(y, F.col("a") == F.col("b")).where("ia < ib").select(F.col("ia").alias("rec_id_a"), F.col("ib").alias("rec_id_b"))
-        return across.unionByName(within)
+        return across.unionByName(within).where("rec_id_a < rec_id_b").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", t: Fraction = THRESHOLD) -> NearDuplicates:
@@ -152,7 +152,7 @@ def near_duplicates(df: DataFrame, id_col: str = "rec_id", text_col: str = "text
     token. 4. The long lists are probed by binary search in the candidate's sorted items, which gives the exact
     overlap. Nothing is dropped: for any pair at or above ``t`` the shared items cannot all be on long lists.
 
-    Null and empty texts and null ids take no part; ids are taken as unique; equal sets are one class whose
+    Null and empty texts and null ids take no part; a repeated row changes nothing; equal sets are one class whose
     least id represents it. A text of fewer than five words is one item. Other columns are ignored."""
     sets = materialize(shingle_sets(df, id_col, text_col), "sets", "none")
     spark = df.sparkSession
@@ -178,7 +178,7 @@ def near_duplicates(df: DataFrame, id_col: str = "rec_id", text_col: str = "text
     la, lb = lists.select(F.col("id").alias("a"), F.col("items").alias("xa")), lists.select(F.col("id").alias("b"), F.col("items").alias("xb"))
     links = pairs.join(la, "a").join(lb, "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "xa", "xb").mapInArrow(_probe(t), "a long, b long, similarity double")
     members = heads.join(reps, ["c1", "c2"]).select("id", "c1", "c2", "rep")
-    return NearDuplicates(members, materialize(links, "links"))
+    return NearDuplicates(members, materialize(links.dropDuplicates(["a", "b"]), "links"))
 
 
 def groups(found: NearDuplicates) -> DataFrame:
@@ -202,4 +202,4 @@ def groups(found: NearDuplicates) -> DataFrame:
     label = e.groupBy(F.col("a").alias("rep")).agg(F.min("b").alias("root"))
     degree = edges.union(edges.select("b", "a")).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("links"))
     m = found.members.join(label, "rep", "left").join(degree, "rep", "left")
-    return m.select("id", F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "rep").alias("group_id"))
+    return m.distinct().select("id", F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "rep").alias("group_id"))

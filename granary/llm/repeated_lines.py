@@ -47,11 +47,11 @@ def repeated_places(df: DataFrame, id_col: str = "rec_id", text_col: str = "text
 def remove_lines(df: DataFrame, places: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> DataFrame:
     """``df`` with the lines named by ``places`` taken out of the text, and their number in ``removed_lines``.
 
-    Records without such lines, null ids and null texts come out unchanged, with 0. All columns are kept."""
+    Records without such lines, null ids and null texts come out unchanged, with 0. All columns are kept but for an earlier ``removed_lines``."""
     gone = places.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("line_no").alias("__gone"))
     kept = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains("__gone", i + 1))
     out = df.join(gone, F.col(id_col) == F.col("__id"), "left")
     return out.select(
-        *[F.when(F.col("__gone").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else F.col(c) for c in df.columns],
+        *[F.when(F.col("__gone").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else F.col(c) for c in df.columns if c != "removed_lines"],
         F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).alias("removed_lines"),
     )

@@ -66,7 +66,7 @@ def texts(seed, n=40):
                 p = rng.randrange(len(v))
                 v[p : p + 1] = rng.choice([[], ["q"], [v[p], "r"]]) if len(v) > 1 else v[p : p + 1]
             out.append("  ".join(v) + rng.choice(["", "\n", "　"]))
-    return [(i * 3, x) for i, x in enumerate(out)] + [(9001, None), (9002, ""), (9003, "  "), (None, "a b c"), (9004, "ﬁ x"), (9005, "fi x"), (9006, "w " * 30_000), (9007, "w " * 29_999)]
+    return [(i * 3, x) for i, x in enumerate(out)] + [(9001, None), (9002, ""), (9003, "  "), (None, "a b c"), (9004, "ﬁ x"), (9005, "fi x"), (9006, "w " * 30_000), (9007, "w " * 29_999), (9004, "ﬁ x")]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
