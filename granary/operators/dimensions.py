@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: model families in the order in which a name is tried.
 FAMILIES = ("qwen", "gemma", "llama")
 
 

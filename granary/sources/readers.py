@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from granary.functions.text import strip
 
 CORPUS = ("text", "url", "timestamp", "source")
+# The corpora in the order in which they are read, and the names of their files.
 PRIORITY = {"culturax": 0, "hplt": 1, "madlad": 2}
 PATTERNS = {"culturax": ["*.parquet"], "hplt": ["*.jsonl", "*.jsonl.zst", "*.jsonl.gz"], "madlad": ["*.jsonl", "*.jsonl.gz", "*.jsonl.zst"]}
 JSON_ROW = "kind string, text string, u string, ts string"
