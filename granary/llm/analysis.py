@@ -25,6 +25,8 @@ MIN_INLINE_RUN = 3
 SURE_SHARE = 0.35
 KNOWN_SHARE = 0.2
 TOP4_SHARE = 0.6
+LONG_WORD = 30
+MIN_SHORT_WORDS = 4
 
 
 class Analysis:
@@ -190,14 +192,15 @@ def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
         chars = len(line) - line.count(" ")
         if w == 0:
             kind[i] = "junk" if chars >= 4 else ""
-        elif w >= 6 or chars > 60:
+        elif w >= 6 or chars > 60 or chars >= LONG_WORD * w:
             kind[i] = "junk" if known[i] < KNOWN_SHARE * w else ""
         elif a.line_letters[lo + i] < 0.3 * chars and chars >= 8:
             kind[i] = "junk"
-    rest = [i for i in rest if not kind[i]]
-    w = sum(words[i] for i in rest)
-    if rest and w >= 8 and not any(sure[i] for i in rest) and a.line_known[[lo + i for i in rest]].sum(0).max() < KNOWN_SHARE * w:
-        for i in rest:
+    # Short lines together: those that are prose by themselves say nothing about them.
+    short = [i for i in rest if not kind[i] and words[i] < 6]
+    w = sum(words[i] for i in short)
+    if short and w >= MIN_SHORT_WORDS and a.line_known[[lo + i for i in short]].sum(0).max() < (KNOWN_SHARE * w if w >= 8 else 1):
+        for i in short:
             kind[i] = "junk"
     chars_by: Counter = Counter()
     for k, x in zip(kind, lines):

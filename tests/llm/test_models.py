@@ -119,3 +119,11 @@ def test_token_budget(spark, sf, models):
     assert got[None, "und", ""] == 1 and sum(got.values()) == 2 and ("s", "a.test") in {(k[0], k[2]) for k in got}
     empty = odd.where("false")
     assert token_budget.budget(empty, models, token_budget.fit(empty, models)).count() == 0
+
+
+def test_short_lines_are_judged_without_the_prose_of_the_record(models, samples):
+    en = [t for x, t in samples if x == "en"]
+    made_up = "\n".join(f"{p}qz tbvn wr{p}p kkjh zzxc" for p in "abcdefghijklmnopqrst")
+    assert kinds([f"{en[0]}\n{made_up}", "Xqz tbvn wrtp kkjh zzxc", "டை" * 30], models) == ["junk"] * 3
+    short = "\n".join(" ".join(en[1].split()[i : i + 4]) for i in range(0, 12, 4))
+    assert kinds([f"{en[0]}\n{short}", short], models) == [None, None]
