@@ -27,6 +27,7 @@ KNOWN_SHARE = 0.2
 TOP4_SHARE = 0.6
 LONG_WORD = 30
 MIN_SHORT_WORDS = 4
+MAX_WORD_CELLS = 5
 
 
 class Analysis:
@@ -67,18 +68,27 @@ class Analysis:
 
 
 def _cells(line: str) -> tuple[int, ...]:
-    """Number of cells by delimiter, 0 where there are fewer than three or one is long."""
+    """Number of cells by delimiter, 0 where there are fewer than three, or one is long and the delimiter is one that prose has, too."""
     s = line.strip()
     out = []
     for sign, p in CELLS:
-        if sign not in s or (sign == "|" and s[0] != "|"):
+        if sign not in s:
             out.append(0)
             continue
         c = p.split(s.strip("|").strip() if sign == "|" else s)
-        out.append(len(c) if len(c) >= 3 and max(x.count(" ") for x in c) < 5 else 0)
+        out.append(len(c) if len(c) >= 3 and (sign in "\t|" or max(x.count(" ") for x in c) < 5) else 0)
     return tuple(out)
 
 
+def _piped(rows: list[str]) -> bool:
+    """Are rows that agree in their pipes a table? Broken rows of items agree, too, so rows without frame are one
+    if they are three or more with few cells, or have long cells or a column of figures."""
+    cells = [CELLS[1][1].split(x.strip("|").strip()) for x in rows]
+    if all(x[0] == "|" for x in rows) or (len(rows) >= 3 and len(cells[0]) <= MAX_WORD_CELLS) or any(y.count(" ") >= 5 for x in cells for y in x):
+        return True
+    return any(all(any(map(str.isdigit, y)) for y in column) for column in zip(*cells))
+
+
 def _item(line: str) -> bool:
     x = line.strip()
     m = MARKER.match(x)
@@ -127,8 +137,10 @@ def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
     for i, x in enumerate(lines):
         if not RULE_LINE.match(x):
             solid.append(i)
-            if not sure[i]:
+            if not sure[i] or "\t" in x or "|" in x:
                 c = _cells(x)
+                if sure[i]:
+                    c = (*c[:2], 0, 0, 0)
                 if any(c):
                     cells[i] = c
     # Tables.
@@ -143,7 +155,7 @@ def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
                     continue
                 while j < len(solid) and cells.get(solid[j], none)[p] >= 3 and abs(cells[solid[j]][p] - c) <= (p >= 3):
                     j += 1
-                if j - i >= 2:
+                if j - i >= 2 and (CELLS[p][0] != "|" or _piped([lines[k].strip() for k in solid[i:j]])):
                     for k in solid[i:j]:
                         kind[k] = kind[k] or "table"
                 i = j

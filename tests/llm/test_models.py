@@ -127,3 +127,15 @@ def test_short_lines_are_judged_without_the_prose_of_the_record(models, samples)
     assert kinds([f"{en[0]}\n{made_up}", "Xqz tbvn wrtp kkjh zzxc", "டை" * 30], models) == ["junk"] * 3
     short = "\n".join(" ".join(en[1].split()[i : i + 4]) for i in range(0, 12, 4))
     assert kinds([f"{en[0]}\n{short}", short], models) == [None, None]
+
+
+def test_tables_with_pipes_without_frame_and_long_cells(models, samples):
+    en = [t for x, t in samples if x == "en"][:6]
+    names = "Bora Lumo Kevi Tasa Povu Gidi".split()
+    cases = [
+        "\n".join(f"{n} | {i} | 4.5" for i, n in enumerate(names)), "\n".join(f"{a} | {b} | {c}" for a, b, c in zip(names, names[1:], names[2:])),
+        "\n".join(f"{i}\t12:30\t{t}" for i, t in enumerate(en)), "\n".join(f"| {i} | 12:30 | {t} |" for i, t in enumerate(en)), "\n".join(f"{i} | 12:30 | {t}" for i, t in enumerate(en[:2])),
+    ]
+    assert kinds(cases, models) == ["table"] * 5
+    names = "Bora Lumo Kevi Tasa Povu Gidi Dane Gofi Wise Batu Lepo Nuga".split()
+    assert kinds([" | ".join(names[:6]) + "\n" + " | ".join(names[6:]), "\n".join(en)], models) == ["list", None]
