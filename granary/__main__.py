@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
         b.add_argument(f"--{k}-dir")
     b.add_argument("--out", required=True)
     b.add_argument("--near-dedup", action="store_true")
+    b.add_argument("--near-lsh", action="store_true", help="near duplicates by shared bands, without verification")
     b.add_argument("--near-threshold", type=float, default=0.8)
     b.add_argument("--min-chars", type=int, default=200)
     b.add_argument("--shard-docs", type=int, default=200_000)
@@ -41,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
         files["madlad"] = readers.split_files(files["madlad"], a.split) if files["madlad"] else []
         rows = pipeline.read_sources(spark, files, a.split)
         stats = []
-        stage = pipeline.Stage("corpus", a.out, lambda: stats.extend(pipeline.build_corpus(rows, a.out, a.min_chars, a.near_dedup, a.near_threshold, a.shard_docs).collect()))
+        stage = pipeline.Stage("corpus", a.out, lambda: stats.extend(pipeline.build_corpus(rows, a.out, a.min_chars, a.near_dedup, a.near_threshold, a.shard_docs, a.near_lsh).collect()))
         pipeline.run_stages([stage])
         for r in stats:
             print(r.source, r.n_in, r.kept)

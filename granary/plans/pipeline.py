@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,15 +76,17 @@ def read_sources(spark: SparkSession, files: dict[str, list[str]], split: str =
     return out
 
 
-def build_corpus(rows: DataFrame, path: str, min_chars: int = 200, near: bool = False, threshold: float = 0.8, shard_docs: int = 200_000) -> DataFrame:
+def build_corpus(rows: DataFrame, path: str, min_chars: int = 200, near: bool = False, threshold: float = 0.8, shard_docs: int = 200_000, near_lsh: bool = False) -> DataFrame:
     """Gate, exact and (if asked) near deduplication of rows with the order columns src_prio, file, block, row;
+    near duplicates are those of a true similarity of ``threshold`` or more, or with ``near_lsh`` those that share a band;
     writes shards of text, url, timestamp, source and gives rows in and kept by source. First seen wins."""
     order = F.struct("src_prio", "file", "block", "row")
     gated = dedup.min_chars_gate(rows, "text", min_chars)
     kept = dedup.first_by_key(gated.withColumn("__h", text_hash(F.col("text"))), "__h", order).drop("__h")
     kept = running_count(kept, [F.col(c) for c in ("src_prio", "file", "block", "row")])
     if near:
-        kept = dedup.near_dedup_lsh(kept, "position", "text", threshold)
+        kept = materialize(kept, "exact")
+        kept = dedup.near_dedup_lsh(kept, "position", "text", threshold) if near_lsh else dedup.near_dedup_verified(kept, "position", "text", Fraction(str(threshold)))
     kept = materialize(kept, "kept")
     sinks.write_corpus(kept.repartitionByRange("position").sortWithinPartitions("position").select(*readers.CORPUS), path, shard_docs)
     return corpus.source_stats(rows, kept)

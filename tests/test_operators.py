@@ -1,3 +1,5 @@
+import time
+import os
 import gzip
 import json
 
@@ -49,6 +51,18 @@ def test_build_and_stages(spark, tmp_path):
         pipeline.run_stages([pipeline.Stage("a", str(tmp_path / "no"), lambda: None, ["a"])])
 
 
+def test_build_near_duplicates_are_exact(spark, tmp_path):
+    """At a similarity of 0.85 three in ten pairs share no band; all later ones must go, and none below 0.8."""
+    rows = []
+    for i in range(20):
+        words = [f"w{i}x{k}" for k in range(100)]
+        rows += [("s", 0, 0, 3 * i, " ".join(words)), ("s", 0, 0, 3 * i + 1, " ".join(words[:92])[:-1] + "y " + " ".join(f"n{i}x{k}" for k in range(3))), ("s", 0, 0, 3 * i + 2, " ".join(words[:70]) + " " + " ".join(f"m{i}x{k}" for k in range(30)))]
+    df = spark.createDataFrame(rows, "source string, file int, block int, row int, text string").withColumns({"src_prio": F.lit(0), "url": F.lit(None).cast("string"), "timestamp": F.lit(None).cast("string")})
+    pipeline.build_corpus(df, str(tmp_path / "o"), near=True)
+    got = {r.text for r in spark.read.parquet(str(tmp_path / "o")).select("text").collect()}
+    assert got == {r[4] for r in rows if r[3] % 3 != 1}
+
+
 def test_files(tmp_path):
     for n in ("x/si/a.parquet", "x/si_b.parquet", "x/p_si_q.parquet", "x/other.parquet"):
         (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
