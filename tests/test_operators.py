@@ -162,3 +162,15 @@ def test_stream(spark, tmp_path):
     q = ingest.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_stream_drops_no_late_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    t = "word " * 60
+    args = (spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    for name, days, texts in (("a", 100, [t]), ("b", 0, [t + "new"]), ("c", 90, [t + "late", t]), ("d", -60, [t + "new", t + "last"])):
+        (tmp_path / f"in/{name}.jsonl").write_text("\n".join(json.dumps({"text": x}) for x in texts))
+        at = time.time() - days * 86400
+        os.utime(tmp_path / f"in/{name}.jsonl", (at, at))
+        ingest.ingest(*args).awaitTermination(120)
+    assert sorted(r.text for r in spark.read.parquet(args[2]).select("text").collect()) == sorted([t, t + "new", t + "late", t + "last"])
