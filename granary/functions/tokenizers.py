@@ -34,20 +34,20 @@ class Tokenizer:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             enc = tiktoken.Encoding(name, pat_str=BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens={})
             self.encode = enc.encode_ordinary
-            self.eos = len(ranks)
+            self.eos = self.size = len(ranks)
         elif name.endswith(".model"):
             import sentencepiece
 
             sp = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda t: sp.encode(t, num_threads=1)
-            self.eos = sp.eos_id()
+            self.eos, self.size = sp.eos_id(), sp.get_piece_size()
         else:
             import tokenizers
 
             tk = tokenizers.Tokenizer.from_file(path)
             tk.encode_special_tokens = True
             self.encode = lambda t: tk.encode(t, add_special_tokens=False).ids
-            self.eos = tk.token_to_id("<|endoftext|>")
+            self.eos, self.size = tk.token_to_id("<|endoftext|>"), tk.get_vocab_size()
 
     def count(self, text: str) -> int:
         """Number of tokens; byte-level vocabularies are counted chunk by chunk through a cache,

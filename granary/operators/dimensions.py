@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +37,49 @@ def capitalized(c: Column) -> Column:
     return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substr(c, F.lit(2))))
 
 
-def model_card(df: DataFrame, lang: Column, code: Column, base: Column, license_: Column, added: Column, before: Column, after: Column) -> DataFrame:
-    """``card``: head and short text of a model card for each row; the sentence on tokens by character stands
-    only where both numbers are known."""
-    head = F.concat(F.lit("---\nlanguage:\n- "), code, F.lit("\nlicense: "), license_, F.lit("\nbase_model: "), base, F.lit("\n---\n\n"))
-    body = F.concat(F.lit("# "), F.substring_index(base, "/", -1), F.lit(" for "), capitalized(lang), F.lit("\n\nVocabulary grown by "), F.coalesce(F.format_number(added, 0), F.lit("several thousand")), F.lit(" tokens.\n"))
-    gain = F.when(before.isNotNull() & after.isNotNull(), F.format_string("Tokens by character: %.3f before, %.3f after.\n", before.cast("double"), after.cast("double"))).otherwise(F.lit(""))
-    return df.withColumn("card", F.concat(head, body, gain))
+def model_card(df: DataFrame, repo: Column, lang: Column, code: Column, base: Column, license_: Column, notice: Column, datasets: tuple[str, ...], added: Column, before: Column, after: Column) -> DataFrame:
+    """``card``: a model card for each row, with head matter, data, method, limits and licence. The sentence on tokens
+    by character stands only where both numbers are known and not 0; without ``added`` the number is not given.
+    A null in one of the other columns makes the card null."""
+    name = capitalized(lang)
+    head = F.concat(
+        F.lit("---\nlanguage:\n- "), code, F.lit("\nlicense: "), license_, F.lit("\nbase_model: "), base,
+        F.lit("\nlibrary_name: transformers\ntags:\n- continued-pretraining\n- vocabulary-expansion\n- "), F.lower(lang),
+        F.lit("\n- multilingual\ndatasets:\n" + "".join(f"- {d}\n" for d in datasets) + "pipeline_tag: text-generation\n---\n\n"))
+    grown = F.concat(F.lit("# "), F.substring_index(repo, "/", -1), F.lit("\n\n"), base, F.lit(" trained further on texts in "), name, F.lit(", with "), F.coalesce(F.format_number(added, 0), F.lit("several thousand")), F.lit(" tokens of that language added to its vocabulary.\n\n"))
+    known = before.isNotNull() & after.isNotNull() & (before != 0) & (after != 0)
+    gain = F.when(known, F.concat(F.format_string("Tokens by character: %.3f before the new tokens, %.3f after.", before.cast("double"), after.cast("double")), F.lit("\n\n"))).otherwise(F.lit(""))
+    body = F.concat(
+        F.lit("## Data\n\nTexts in "), name, F.lit(" from " + ", ".join(datasets) + ", merged; equal and nearly equal texts came in once.\n\n## Method\n\n"),
+        F.lit("Pieces of a vocabulary of the corpus that the base tokenizer splits were added to it. Each new embedding began as the mean of the pieces it was split into.\n\n## Use and limits\n\nA base model without instruction tuning for text in "), name,
+        F.lit(". It carries the errors and the slant of web text.\n\n## Licence\n\n"), license_, F.lit(", as the base model. "), notice, F.lit("\n"))
+    return df.withColumn("card", F.concat(head, grown, gain, body))
+
+
+def parse_dimension(text: str) -> dict[str, dict[str, str]]:
+    """Rows of a small lookup file by name, in lower case: JSON, or lines ``name:`` followed by indented ``key: value``
+    ones. Quotes around values, comments and blank lines are left out; a line before any name is an error."""
+    if text.lstrip().startswith("{"):
+        return {k.lower(): {a: str(b) for a, b in v.items()} for k, v in json.loads(text).items()}
+    out: dict[str, dict[str, str]] = {}
+    row: dict[str, str] | None = None
+    for line in text.splitlines():
+        body = re.sub(r"(?:^|\s)#.*$", "", line).rstrip()
+        if not body:
+            continue
+        key, sep, value = body.strip().partition(":")
+        value = value.strip().strip("'\"")
+        if body[0] not in " \t" and sep and not value:
+            row = out.setdefault(key.strip("'\"").lower(), {})
+        elif row is None or not sep:
+            raise ValueError(f"not a lookup file: {line!r}")
+        else:
+            row[key.strip()] = value
+    return out
+
+
+def dimension_row(rows: dict[str, dict[str, str]], name: str) -> dict[str, str]:
+    """The row of a name, in any letter case; an unknown one is an error that lists the known ones."""
+    if name.lower() not in rows:
+        raise KeyError(f"no {name}; known: {', '.join(sorted(rows))}")
+    return rows[name.lower()]

@@ -27,34 +27,33 @@ def chunk_counts(df: DataFrame, n_tokens: Column, by: list[str], seq_len: int) -
     return t.select(*by, F.expr(f"n_tokens div {seq_len}").alias("n_sequences"), (F.col("n_tokens") % seq_len).alias("n_left"))
 
 
-def replay_mix(main: DataFrame, replay: DataFrame, order: list[Column], ratio: float, seed: int = 1234) -> DataFrame:
-    """Both streams, all rows once, so interleaved that a share ``ratio`` of the draws is replay while both last.
+def replay_mix(main: DataFrame, replay: DataFrame, order: list[Column], ratio: float, by: list[str] | None = None, shift: Column | None = None, seed: int = 1234) -> DataFrame:
+    """Both streams, all rows once, so interleaved that a share ``ratio`` of the draws is replay while both last,
+    within each group ``by``.
 
     The k-th row of a stream has the key k / weight, moved within one draw by a hash; the result has ``stream``
-    (0 main, 1 replay) and ``mix_key`` to order by. A ratio of 0 leaves the replay out."""
+    (0 main, 1 replay) and ``mix_key`` to order by. A ratio of 0 leaves the replay out. ``shift`` is a number from 0
+    to 999 made of ``__seed``, ``__stream`` and ``__at``, the number of the row in its stream, instead of the hash."""
     out = None
     for i, (df, w) in enumerate(((main, 1 - ratio), (replay, ratio))):
         if w <= 0:
             continue
-        at = running_sum(df, order, F.lit(1), "__at")
-        shift = F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "__at"), F.lit(1000)) / 1000.0
-        part = at.select(*df.columns, F.lit(i).alias("stream"), ((F.col("__at") + shift) / w).alias("mix_key"))
+        at = running_sum(df, order, F.lit(1), "__at", by).withColumns({"__seed": F.lit(seed), "__stream": F.lit(i)})
+        moved = shift if shift is not None else F.pmod(F.xxhash64("__seed", "__stream", "__at"), F.lit(1000))
+        part = at.select(*df.columns, F.lit(i).alias("stream"), ((F.col("__at") + moved / 1000.0) / w).alias("mix_key"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def pack_sequences(df: DataFrame, order: list[Column], by: list[str], seq_len: int, text_col: str = "text", name: str = tok.DEFAULT_NAME, folder: str = tok.DEFAULT_DIR) -> DataFrame:
-    """(by..., seq_no, input_ids, labels): texts of each group in order, as tokens with an end token after each,
-    cut every ``seq_len`` tokens across text borders; the rest of a group is dropped. Null and empty texts are skipped.
+def pack_ids(df: DataFrame, order: list[Column], by: list[str], seq_len: int, ids: Column, eos: int) -> DataFrame:
+    """(by..., seq_no, input_ids, labels): the token ids of each group's rows in order, with an end token after each,
+    cut every ``seq_len`` tokens across rows; the rest of a group is dropped. Rows with null ids are skipped.
 
-    Positions come from a running sum of sizes, so each piece of a text finds its sequences alone; pieces meet by
+    Positions come from a running sum of sizes, so each piece of a row finds its sequences alone; pieces meet by
     sequence number, where no group is larger than a sequence."""
-    ids = tok.token_ids(F.col(text_col), name, folder)
-    eos = tok.tokenizer(name, folder).eos
-    rows = materialize(df.where(F.col(text_col) != "").withColumn("__ids", F.concat(ids, F.array(F.lit(eos)))), "tokens")
-    keyed = [c for c in df.columns if c != text_col]
-    sized = rows.select(*keyed, "__ids", F.size("__ids").cast("long").alias("__n"))
-    at = running_sum(sized, order, F.col("__n"), "__at", by)
+    rows = df.withColumn("__ids", F.concat(ids, F.array(F.lit(eos)))).where("__ids is not null")
+    rows = materialize(rows.withColumn("__n", F.size("__ids").cast("long")), "tokens")
+    at = running_sum(rows, order, F.col("__n"), "__at", by)
     piece = F.explode(F.sequence(F.expr(f"__at div {seq_len}"), F.expr(f"(__at + __n - 1) div {seq_len}"))).alias("seq_no")
     p = at.select(*by, "__at", "__ids", piece)
     start = F.greatest(F.lit(0), F.col("seq_no") * seq_len - F.col("__at"))
@@ -64,6 +63,18 @@ def pack_sequences(df: DataFrame, order: list[Column], by: list[str], seq_len: i
     return seqs.where(F.size("input_ids") == seq_len).withColumn("labels", F.col("input_ids"))
 
 
+def pack_sequences(df: DataFrame, order: list[Column], by: list[str], seq_len: int, text_col: str = "text", name: str = tok.DEFAULT_NAME, folder: str = tok.DEFAULT_DIR) -> DataFrame:
+    """``pack_ids`` of the tokens of texts under a public tokenizer. Null and empty texts are skipped."""
+    ids = tok.token_ids(F.col(text_col), name, folder)
+    kept = df.where(F.col(text_col) != "").withColumn("__t", ids).drop(text_col)
+    return pack_ids(kept, order, by, seq_len, F.col("__t"), tok.tokenizer(name, folder).eos)
+
+
+def first_steps(batched: DataFrame, steps: int) -> DataFrame:
+    """Batches of the first ``steps`` steps; the cap is what this operator is for."""
+    return batched.where(F.col("batch_no") < steps)
+
+
 def batches(seqs: DataFrame, size: int, by: list[str]) -> DataFrame:
     """Sequences collated into batches of ``size`` by their number, with a mask of ones; the last may be smaller."""
     b = seqs.withColumn("batch_no", F.expr(f"seq_no div {size}"))

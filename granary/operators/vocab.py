@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import copy
 import json
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,13 +57,30 @@ def fertility(df: DataFrame, n_tokens: Column, text_col: str = "text", by: list[
     return sums.withColumn("fertility", F.when(F.col("n_chars") == 0, F.lit(float("nan"))).otherwise(F.try_divide(F.col("n_tokens").cast("double"), F.col("n_chars"))))
 
 
+def vocab_path(model_path: str) -> str:
+    """Path of the vocabulary list that belongs to a model file."""
+    return model_path.replace(".model", ".vocab")
+
+
+def extended_tokenizer(surfaces: list[str], name: str = "byte_bpe_50k.json", folder: str = tok.DEFAULT_DIR):
+    """A JSON tokenizer with ``surfaces`` (bounded by the cap on new tokens) added as plain tokens; their ids follow
+    those of the base in the order given."""
+    return _extended(name, folder, json.dumps(surfaces, ensure_ascii=False))
+
+
+def expansion_meta(spark: SparkSession, model: str, base_vocab: int, added: int, tied: bool, before: float | None, after: float | None) -> DataFrame:
+    """One row that tells how a vocabulary was grown; fertilities are null where there was no sample."""
+    row = (model, base_vocab, added, base_vocab + added, tied, before, after)
+    return spark.createDataFrame([row], "model string, base_vocab long, added long, new_vocab long, tied_embeddings boolean, fertility_tokens_per_char_before double, fertility_tokens_per_char_after double")
+
+
 def extended_token_count(c: Column, surfaces: list[str], name: str = "byte_bpe_50k.json", folder: str = tok.DEFAULT_DIR) -> Column:
     """Tokens under a JSON tokenizer with ``surfaces`` (bounded by the cap on new tokens) added as plain tokens."""
-    added = list(copy.copy(surfaces))
+    added = json.dumps(list(surfaces), ensure_ascii=False)
 
     @F.pandas_udf(T.LongType())
     def count(it: pd.Series) -> pd.Series:
-        tk = _extended(name, folder, json.dumps(added, ensure_ascii=False))
+        tk = _extended(name, folder, added)
         texts = [x or "" for x in it]
         return pd.Series([len(e.ids) for e in tk.encode_batch(texts, add_special_tokens=False)], dtype="int64")
 

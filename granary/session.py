@@ -61,14 +61,23 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own_dir
 
 
-def materialize(df: DataFrame, name: str, compression: str = "zstd", keep_names: bool = True) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back: the lineage ends there and
     losing an executor loses nothing. The table is removed when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/granary-{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", compression).parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._granary_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table of ``materialize`` that nothing will read again, as those of past rounds."""
+    path = getattr(df, "_granary_path", None)
+    if path:
+        _remove(df.sparkSession, path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

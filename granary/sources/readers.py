@@ -5,10 +5,7 @@ and ``row``: first seen means least in that order."""
 
 from __future__ import annotations
 
-import fnmatch
-import glob
 import json
-import os
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,30 +13,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granary.functions.text import strip
+from granary.sources.files import find_files, find_folders
 
 CORPUS = ("text", "url", "timestamp", "source")
 # The corpora in the order in which they are read, and the names of their files.
 PRIORITY = {"culturax": 0, "hplt": 1, "madlad": 2}
-PATTERNS = {"culturax": ["*.parquet"], "hplt": ["*.jsonl", "*.jsonl.zst", "*.jsonl.gz"], "madlad": ["*.jsonl", "*.jsonl.gz", "*.jsonl.zst"]}
+LINE_FILES = ["*.jsonl", "*.jsonl.gz", "*.jsonl.zst"]
+PATTERNS = {"culturax": ["*.parquet"], "hplt": LINE_FILES, "madlad": LINE_FILES}
 JSON_ROW = "kind string, text string, u string, ts string"
 
 
-def find_files(folder: str, patterns: list[str]) -> list[str]:
-    """All files below ``folder`` that match a pattern, sorted, each once."""
-    hits = set()
-    for here, _, names in os.walk(folder):
-        hits.update(os.path.join(here, n) for n in names if any(fnmatch.fnmatch(n, p) for p in patterns))
-    return sorted(hits)
-
-
-def cached_files(dataset: str, patterns: list[str], homes: list[str]) -> list[str]:
+def cached_files(spark: SparkSession, dataset: str, patterns: list[str], homes: list[str]) -> list[str]:
     """Files of all snapshots of a data set below cache folders; its name may be in any letter case."""
     name = dataset.rsplit("/", 1)[-1].lower()
     found: set[str] = set()
     for home in homes:
-        for folder in glob.glob(os.path.join(home, "**", "datasets--*"), recursive=True):
-            if os.path.isdir(folder) and name in os.path.basename(folder).lower():
-                found.update(find_files(folder, patterns))
+        for folder in find_folders(spark, home, "datasets--*"):
+            if name in folder.rsplit("/", 1)[-1].lower():
+                found.update(find_files(spark, folder, patterns))
     return sorted(found)
 
 
@@ -59,21 +50,21 @@ def language_files(files: list[str], code: str, strict: bool = True) -> list[str
     return kept if kept or strict else list(files)
 
 
-def resolve_files(kind: str, code: str, raw: str, override: str | None = None, dataset: str | None = None, homes: list[str] | None = None, by_language: bool = True) -> list[str]:
+def resolve_files(spark: SparkSession, kind: str, code: str, raw: str, override: str | None = None, dataset: str | None = None, homes: list[str] | None = None, by_language: bool = True) -> list[str]:
     """Files of a corpus: the folder named by ``override``, else ``<raw>/<kind>_<code>``, else the cache."""
     patterns = PATTERNS[kind]
     if override:
-        files = find_files(override, patterns)
+        files = find_files(spark, override, patterns)
     else:
-        files = find_files(os.path.join(raw, f"{kind}_{code}"), patterns)
+        files = find_files(spark, f"{raw.rstrip('/')}/{kind}_{code}", patterns)
         if not files and dataset:
-            return language_files(cached_files(dataset, patterns, homes or []), code, strict=False)
+            return language_files(cached_files(spark, dataset, patterns, homes or []), code, strict=False)
     return language_files(files, code, strict=False) if by_language else files
 
 
 def split_files(files: list[str], split: str) -> list[str]:
     """Files whose name holds the split; all of them where none does."""
-    return [f for f in files if split in os.path.basename(f)] or list(files)
+    return [f for f in files if split in f.rsplit("/", 1)[-1]] or list(files)
 
 
 def _parse(line: str) -> tuple[str, str | None, str | None, str | None]:
@@ -88,19 +79,37 @@ def _parse(line: str) -> tuple[str, str | None, str | None, str | None]:
     except (ValueError, RecursionError):
         return "bad", None, None, None
     if not isinstance(v, dict):
-        return "other", plain(v), None, None
+        # The text form of the language the corpus tools are written in: None, True, [1, 2].
+        return "other", str(v), None, None
     return "object", plain(v.get("text")), plain(v.get("u")), plain(v.get("ts"))
 
 
 def parse_json(line: Column) -> Column:
-    """Strict JSON of a line, an Arrow batch at a time: kind ("object", "other", "bad") and the strings text, u
-    and ts. What is missing, null, zero, false or empty is the empty string; a null line is bad."""
-
-    @F.pandas_udf(T._parse_datatype_string(JSON_ROW))
-    def parse(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_parse(x) if x is not None else ("bad", None, None, None) for x in s], columns=["kind", "text", "u", "ts"])
-
-    return parse(line)
+    """Strict JSON of a line: kind ("object", "other", "bad") and the strings text, u and ts. What is missing, null,
+    zero, false or empty is the empty string; another value than an object has its text form as text; a null line is bad.
+
+    An object whose three fields are strings, null or missing never leaves the JVM. Its parser ignores what
+    follows a value, so the line is parsed inside brackets and inside an object: what ends one early breaks the
+    other. All other lines go to Python in Arrow batches, for its rules on numbers, nested values and repeated keys."""
+    row = T._parse_datatype_string(JSON_ROW)
+
+    @F.pandas_udf(row)
+    def slow(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_parse(x) if x is not None else (None,) * 4 for x in s], columns=["kind", "text", "u", "ts"])
+
+    listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    boxed = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
+    one = boxed.isNotNull() & F.startswith(F.schema_of_variant(listed), F.lit("ARRAY<OBJECT<")) & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    fields = {}
+    for k in ("text", "u", "ts"):
+        part = F.try_variant_get(listed, f"$[0].{k}", "variant")
+        one = one & F.coalesce(F.schema_of_variant(part), F.lit("VOID")).isin("STRING", "VOID")
+        fields[k] = F.coalesce(F.try_variant_get(listed, f"$[0].{k}", "string"), F.lit(""))
+    fast = F.coalesce(one, F.lit(False))
+    own = F.struct(F.lit("object").alias("kind"), *[v.alias(k) for k, v in fields.items()])
+    rest = slow(F.when(~fast, line))
+    bad = F.struct(F.lit("bad").alias("kind"), *[F.lit(None).cast("string").alias(k) for k in fields])
+    return F.when(line.isNull(), bad).when(fast, own).otherwise(rest)
 
 
 def json_lines(df: DataFrame, line_col: str = "line") -> DataFrame:

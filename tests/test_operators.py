@@ -22,7 +22,7 @@ def test_json_readers(spark):
     got = {r.i: (r.text, r.url, r.timestamp) for r in readers.drop_bad(df).collect()}
     assert got == {7: ("", "", ""), 8: ("b", "", ""), 11: ("p", "", "5"), 12: ("", "x", "")}
     raw = {r.i: r.text for r in readers.keep_raw(df).collect()}
-    assert raw[0] == "{bad" and raw[3] == '{"text":"t"} junk' and raw[5] == "bare" and raw[6] == "" and raw[4] == "[1, 2]" and 9 not in raw and 99 not in raw
+    assert raw[0] == "{bad" and raw[3] == '{"text":"t"} junk' and raw[5] == "bare" and raw[6] == "None" and raw[4] == "[1, 2]" and 9 not in raw and 99 not in raw
 
 
 def test_build_and_stages(spark, tmp_path):
@@ -35,14 +35,14 @@ def test_build_and_stages(spark, tmp_path):
     with gzip.open(h / "a.jsonl.gz", "wt") as f:
         f.write("\n".join(rows))
     (h / "b.jsonl.zst").write_bytes(zstandard.ZstdCompressor().compress((json.dumps({"text": long + "three"}) + "\n").encode()))
-    files = {k: readers.resolve_files(k, "si", str(tmp_path)) for k in readers.PRIORITY}
+    files = {k: readers.resolve_files(spark, k, "si", str(tmp_path)) for k in readers.PRIORITY}
     assert len(files["hplt"]) == 2 and not files["madlad"]
     out = str(tmp_path / "out")
     rows_df = pipeline.read_sources(spark, files)
     stats = []
     stage = pipeline.Stage("corpus", out, lambda: stats.extend(pipeline.build_corpus(rows_df, out).collect()))
     assert pipeline.run_stages([stage]) == ["corpus"] and pipeline.run_stages([stage]) == []
-    assert {(r.source, r.n_in, r.kept) for r in stats} == {("culturax:", 2, 1), ("hplt3.0", 3 - 1 + 1, 2)}
+    assert {(r.corpus, r.n_in, r.kept) for r in stats} == {("culturax", 2, 1), ("hplt", 3 - 1 + 1, 2)}
     got = spark.read.parquet(out)
     assert got.columns == list(readers.CORPUS) and got.where("url = 'u1'").count() == 1
     with pytest.raises(ValueError):
@@ -63,11 +63,12 @@ def test_build_near_duplicates_are_exact(spark, tmp_path):
     assert got == {r[4] for r in rows if r[3] % 3 != 1}
 
 
-def test_files(tmp_path):
+def test_files(spark, tmp_path):
     for n in ("x/si/a.parquet", "x/si_b.parquet", "x/p_si_q.parquet", "x/other.parquet"):
         (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / n).write_text("")
-    f = readers.find_files(str(tmp_path), ["*.parquet"])
+    f = readers.find_files(spark, f"file://{tmp_path}", ["*.parquet"])
+    assert f == readers.find_files(spark, str(tmp_path), ["*.parquet"]) and readers.find_files(spark, f"{tmp_path}/none", ["*"]) == []
     assert len(f) == 4 and f == sorted(f)
     assert len(readers.language_files(f, "si")) == 3
     assert readers.language_files(f, "zz") == [] and readers.language_files(f, "zz", strict=False) == f
@@ -144,15 +145,29 @@ def test_embeddings(spark):
 def test_dimensions(spark):
     df = spark.createDataFrame([("x/Qwen-Gemma",), ("gemma-3",), ("other",), (None,)], "m string")
     assert [r.f for r in df.select(dimensions.model_family(F.col("m")).alias("f")).collect()] == ["qwen", "gemma", "qwen", "qwen"]
-    card = dimensions.model_card(df.limit(1), F.lit("tamil"), F.lit("ta"), F.lit("a/b"), F.lit("mit"), F.lit(1200), F.lit(0.4), F.lit(0.25)).first().card
-    assert "Tamil" in card and "1,200" in card and "0.400 before, 0.250 after" in card
+    lit = F.lit
+    card = dimensions.model_card(df.limit(1), lit("me/c"), lit("tamil"), lit("ta"), lit("a/b"), lit("mit"), lit("Note."), ("d1", "d2"), lit(1200), lit(0.4), lit(0.25)).first().card
+    assert "Tamil" in card and "1,200" in card and "0.400 before the new tokens, 0.250 after" in card and "- d1\n- d2\n" in card and card.endswith("as the base model. Note.\n") and "# c\n" in card
+    none = lit(None).cast("double")
+    card = dimensions.model_card(df.limit(1), lit("c"), lit("tamil"), lit("ta"), lit("a/b"), lit("mit"), lit(""), (), none.cast("long"), none, lit(0.25)).first().card
+    assert "several thousand" in card and "Tokens by character" not in card
+    rows = dimensions.parse_dimension("# codes\nTamil:\n  culturax: ta  # two letters\n  hplt: 'tam_Taml'\n\nnepali:\n  culturax: ne\n")
+    assert rows == {"tamil": {"culturax": "ta", "hplt": "tam_Taml"}, "nepali": {"culturax": "ne"}} and dimensions.parse_dimension('{"Tamil": {"a": 1}}') == {"tamil": {"a": "1"}}
+    assert dimensions.dimension_row(rows, "TAMIL")["culturax"] == "ta"
+    with pytest.raises(KeyError):
+        dimensions.dimension_row(rows, "xx")
+    with pytest.raises(ValueError):
+        dimensions.parse_dimension("  a: b\n")
 
 
 def test_shards(spark, tmp_path):
     df = spark.range(25).withColumn("text", F.lit("x"))
     sinks.write_shards(df, str(tmp_path / "s"), [F.col("id")], 10)
-    got = spark.read.parquet(str(tmp_path / "s")).groupBy("shard").agg(F.count("*").alias("n"), F.min("id").alias("a")).orderBy("shard").collect()
-    assert [(r.shard, r.n, r.a) for r in got] == [(0, 10, 0), (1, 10, 10), (2, 5, 20)]
+    name = F.col("_metadata.file_name")
+    got = spark.read.parquet(str(tmp_path / "s")).groupBy(name.alias("f")).agg(F.count("*").alias("n"), F.min("id").alias("a")).orderBy("f").collect()
+    assert [(r.n, r.a) for r in got] == [(10, 0), (10, 10), (5, 20)]
+    sinks.write_shards(df.where("false"), str(tmp_path / "e"), [F.col("id")], 10)
+    assert spark.read.parquet(str(tmp_path / "e")).count() == 0
 
 
 def test_stream(spark, tmp_path):
