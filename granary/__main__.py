@@ -123,7 +123,7 @@ def main(argv: list[str] | None = None) -> None:
         build(spark, a)
     elif a.command == "lines":
         rows = spark.read.parquet(a.data).select("text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-        corpus.training_lines(rows, ["file", "row"], max_bytes=int(a.max_gb * 1_000_000_000), max_line_bytes=a.max_sentence_length, max_lines=a.max_lines).select("line").write.mode("overwrite").option("compression", "zstd").text(a.out)
+        corpus.training_lines(rows, ["file", "row"], max_bytes=int(a.max_gb * 1_000_000_000), max_line_bytes=a.max_sentence_length, max_lines=a.max_lines).select("line").write.mode("overwrite").option("compression", "gzip").text(a.out)
     elif a.command == "expand":
         pieces = readers.read_vocab(spark, vocab_path(a.lang_spm))
         sample = spark.read.parquet(a.sample).where("text <> ''").orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index")).select("text").limit(a.sample_docs) if a.sample else None

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from granary.functions.text import normalize_text, shingles, strip, text_hash
 from granary.functions.wordruns import WordRuns, run_hashes
 from granary.operators.sketch import count_table, id_filter, keep_ids, log_codes, table_bits
-from granary.operators.skew import join_back
+from granary.operators.skew import HEAVY_ROWS, join_back
 from granary.session import discard, materialize
 
 LANES = 128
@@ -91,6 +91,15 @@ def _offers(codes: Broadcast, bits: int, p: int, q: int):
     return run
 
 
+def _meeting(offer: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs (a, b) of sets that meet on an item, a the smaller, where sizes and places still allow the overlap."""
+    a, b = offer.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa")), offer.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    reach = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    fits = smaller & (F.col("na") * q >= F.col("nb") * p) & (reach * (p + q) >= (F.col("na") + F.col("nb")) * p)
+    return a.join(b, "token").where(fits).select("a", "b").distinct()
+
+
 def _jaccard(p: int, q: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -124,11 +133,7 @@ def jaccard_pairs(df: DataFrame, id_col: str, text_col: str = "text", threshold:
     bits = table_bits(sets.agg(F.sum("n").alias("n")).first().n or 0)
     codes = df.sparkSession.sparkContext.broadcast(log_codes(count_table(sets.select("items"), _flat, bits)))
     offer = sets.mapInArrow(_offers(codes, bits, p, q), "token long, id long, n int, pos int")
-    a, b = offer.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa")), offer.select("token", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    reach = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    fits = smaller & (F.col("na") * q >= F.col("nb") * p) & (reach * (p + q) >= (F.col("na") + F.col("nb")) * p)
-    cand = materialize(a.join(b, "token").where(fits).select("a", "b").distinct(), "pairs")
+    cand = materialize(_meeting(offer, p, q), "pairs")
     ids = cand.select("a").union(cand.select("b"))
     lists = keep_ids(sets.select("id", "items"), id_filter(ids, 2 * cand.count()))
     both = cand.join(lists.select(F.col("id").alias("a"), F.col("items").alias("xa")), "a").join(lists.select(F.col("id").alias("b"), F.col("items").alias("xb")), "b")
@@ -147,11 +152,16 @@ def lsh_layout(threshold: float, lanes: int = LANES) -> tuple[int, int]:
     return best[1], best[2]
 
 
-def minhash(items: Column, lanes: int = LANES, seed: int = 1) -> Column:
-    """Least values of the items under ``lanes`` hash functions; an empty set gives the greatest value everywhere."""
+def lane_constants(lanes: int = LANES, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and addends of the hash functions x -> (x * factor + addend) mod 2**64."""
     rng = np.random.default_rng(seed)
-    mul = rng.integers(1, 2**63, lanes, dtype=np.uint64) | np.uint64(1)
-    add = rng.integers(0, 2**63, lanes, dtype=np.uint64)
+    return rng.integers(1, 2**63, lanes, dtype=np.uint64) | np.uint64(1), rng.integers(0, 2**63, lanes, dtype=np.uint64)
+
+
+def minhash(items: Column, lanes: int = LANES, seed: int = 1) -> Column:
+    """Upper halves of the least values of the items under ``lanes`` hash functions; an empty set gives the greatest
+    value everywhere."""
+    mul, add = lane_constants(lanes, seed)
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def run(s: pd.Series) -> pd.Series:
@@ -213,7 +223,9 @@ def greedy_first(members: DataFrame) -> DataFrame:
         dropped = fall if dropped is None else dropped.union(fall)
         if state.isEmpty():
             return dropped
-        nxt = materialize(open_.join(state, "ord", "left").where("fall is null or not fall").select("ord", "bucket", (F.col("kept") | F.col("fall").isNotNull()).alias("kept")), "next")
+        nxt = open_.join(state, "ord", "left").where("fall is null or not fall").select("ord", "bucket", (F.col("kept") | F.col("fall").isNotNull()).alias("kept"))
+        # Read twice, three times where keys are heavy.
+        nxt = materialize(nxt, "next") if total > HEAVY_ROWS else nxt
         alive = nxt.groupBy("bucket").agg(F.count("*").alias("n"), F.max(~F.col("kept")).alias("alive")).where("alive").drop("alive")
         last, open_ = open_, materialize(join_back(nxt, alive, "bucket", total, how="left_semi"), "greedy")
         discard(last)

@@ -28,15 +28,18 @@ def surface(piece: Column) -> Column:
     return F.translate(piece, WORD_MARK, " ")
 
 
+def first_ranked(surfaces: DataFrame, max_new: int) -> DataFrame:
+    """(new_rank from 0, piece_rank, surface): each surface at its first rank, the first ``max_new`` of them. A
+    vocabulary is at most some hundred thousand pieces, so the numbering takes one task."""
+    s = surfaces.groupBy("surface").agg(F.min("piece_rank").alias("piece_rank")).orderBy("piece_rank").limit(max_new)
+    return s.select((F.row_number().over(Window.orderBy("piece_rank")) - 1).alias("new_rank"), "piece_rank", "surface")
+
+
 def select_new_tokens(vocab: DataFrame, max_new: int, min_len: int = 2, name: str = tok.DEFAULT_NAME, folder: str = tok.DEFAULT_DIR) -> DataFrame:
-    """(new_rank from 0, piece_rank, surface): surfaces of two or more characters that the base tokenizer does not
-    have as one token, each at its first rank, the first ``max_new`` of them. The vocabulary is at most some
-    hundred thousand pieces, so the last numbering takes one task."""
+    """``first_ranked`` of the surfaces of two or more characters that the base tokenizer does not have as one token."""
     s = plain_pieces(vocab).select("piece_rank", surface(F.col("piece")).alias("surface"))
     s = s.where(F.length(strip(F.col("surface"))) >= min_len)
-    s = s.groupBy("surface").agg(F.min("piece_rank").alias("piece_rank"))
-    s = s.where(tok.token_count(F.col("surface"), name, folder) >= 2).orderBy("piece_rank").limit(max_new)
-    return s.select((F.row_number().over(Window.orderBy("piece_rank")) - 1).alias("new_rank"), "piece_rank", "surface")
+    return first_ranked(s.where(tok.token_count(F.col("surface"), name, folder) >= 2), max_new)
 
 
 def assign_token_ids(new: DataFrame, base_size: int) -> DataFrame:
