@@ -77,6 +77,27 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.shares(mixing.mix(sized, targets), sized, targets)
 
 
+def p7_shares_filled(spark: SparkSession, sf: str) -> DataFrame:
+    """The shares where what a source cannot reach goes to the others."""
+    sized, targets = mixing.sized_sources(read_table(spark, sf, "documents")), read_table(spark, sf, "mix_targets")
+    return mixing.shares(mixing.mix(sized, targets, fill=True), sized, targets, fill=True)
+
+
+def _word_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes in words, which SQL can count."""
+    return mixing.sized_sources(read_table(spark, sf, "documents"), size=F.size(F.split(F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")), " ")))
+
+
+def p7_mix_words(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(_word_sizes(spark, sf), read_table(spark, sf, "mix_targets"), key=mixing.md5_key(F.col("id"))).withColumnRenamed("id", "doc_id")
+
+
+def p7_shares_words(spark: SparkSession, sf: str) -> DataFrame:
+    sized, targets = _word_sizes(spark, sf), read_table(spark, sf, "mix_targets")
+    out = mixing.shares(mixing.mix(sized, targets, key=mixing.md5_key(F.col("id"))), sized, targets)
+    return out.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     found = garbled.find_garbled(read_table(spark, sf, "documents"), garbled.fit(read_table(spark, sf, "lang_samples")))
     return found.documents().withColumnRenamed("id", "doc_id")
@@ -88,10 +109,10 @@ def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p7_mix, p7_shares, p8_found, p8_restored)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p7_mix, p7_shares, p7_shares_filled, p7_mix_words, p7_shares_words, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
     from granary.plans.catalog import normal_sql
 
-    return {"p4_found": sql.P4_FOUND, "p4_cleaned": sql.P4_CLEANED, "p5_found": sql.p5_found(normal_sql("(SELECT rec_id AS doc_id, text FROM data_pipeline WHERE text IS NOT NULL)"))}
+    return {"p7_mix_words": sql.P7_MIX, "p7_shares_words": sql.P7_SHARES, "p4_found": sql.P4_FOUND, "p4_cleaned": sql.P4_CLEANED, "p5_found": sql.p5_found(normal_sql("(SELECT rec_id AS doc_id, text FROM data_pipeline WHERE text IS NOT NULL)"))}

@@ -26,3 +26,20 @@ s AS MATERIALIZED (SELECT DISTINCT doc_id, s FROM r WHERE s IS NOT NULL UNION AL
 c AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
 o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2)
 SELECT a AS rec_id_a, b AS rec_id_b FROM o JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b WHERE 5 * o >= 4 * (ca.c + cb.c - o)"""
+
+
+P7_PLAN = r"""sz AS (SELECT doc_id, lower(regexp_replace(coalesce(source, ''), '\s+', '', 'g')) AS src, len(string_split(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')), ' ')) AS n,
+('0x' || left(md5(doc_id::VARCHAR), 15))::BIGINT AS key FROM documents WHERE text IS NOT NULL),
+t AS (SELECT lower(regexp_replace(source, '\s+', '', 'g')) AS src, min(source) AS source, sum(target_share) AS target_share, max(max_repeats) AS max_repeats FROM mix_targets WHERE target_share > 0 AND max_repeats > 0 GROUP BY 1),
+h AS (SELECT src, CAST(sum(n) AS BIGINT) AS available, count(*) AS documents FROM sz GROUP BY src),
+p AS (SELECT src, source, target_share, max_repeats, coalesce(available, 0) AS available, coalesce(documents, 0) AS documents, CAST(sum(available) OVER () AS BIGINT) AS planned FROM t LEFT JOIN h USING (src)),
+b AS (SELECT *, CAST(floor(target_share * planned) AS BIGINT) AS budget FROM p),
+k AS (SELECT doc_id, src, source, n, available, budget, max_repeats, CAST(coalesce(sum(n) OVER (PARTITION BY src ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos FROM sz JOIN b USING (src)),
+m AS (SELECT doc_id, source, CAST(e.e AS INTEGER) AS epoch, (e.e - 1) * available + pos AS start, n AS n_tokens, least(n, budget - ((e.e - 1) * available + pos)) AS tokens
+FROM k, (SELECT unnest(range(1, (SELECT max(max_repeats) FROM b) + 1)) AS e) e WHERE e.e <= max_repeats AND (e.e - 1) * available + pos < budget)"""
+
+P7_MIX = f"WITH {P7_PLAN} SELECT * FROM m"
+
+P7_SHARES = f"""WITH {P7_PLAN}, g AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens FROM m GROUP BY source), x AS (SELECT b.*, coalesce(tokens, 0) AS tokens FROM b LEFT JOIN g USING (source))
+SELECT source, round(target_share, 9) AS target_share, max_repeats, documents, available, budget, tokens, round(CASE WHEN available > 0 THEN tokens / available END, 9) AS repeats, round(tokens / planned, 9) AS planned_share,
+round(tokens / sum(tokens) OVER (), 9) AS actual_share, tokens >= budget AS reached FROM x"""

@@ -71,17 +71,19 @@ def brute_mix(rows, targets, total, order):
     return out
 
 
-@pytest.mark.parametrize("bucket_rows", [3, 1000])
-def test_mix_against_brute_force(spark, bucket_rows):
+def test_mix_against_brute_force(spark):
+    """Ids and cuts are equal whatever the number of ranges."""
     rows = [(i, "ab"[i % 2] if i % 7 else "c", 1 + i * 13 % 17) for i in range(60)]
     sized = spark.createDataFrame([(i, s, n) for i, s, n in rows], "id long, src string, n long")
     targets = spark.createDataFrame([("A ", 0.5, 1), ("b", 0.1, 3), ("C", 0.3, 4), ("none", 0.1, 2)], "source string, target_share double, max_repeats int")
-    keys = {r.id: r.k for r in sized.select("id", F.xxhash64("id", F.lit(mixing.SEED)).alias("k")).collect()}
-    order = sorted(rows, key=lambda r: ((keys[r[0]] % 2**64) >> 40, keys[r[0]], r[0]))
-    total = 400
-    got = {(r.id, r.epoch): r.tokens for r in mixing.mix(sized, targets, total, bucket_rows=bucket_rows).collect()}
-    want = brute_mix(rows, {"a": (0.5, 1), "b": (0.1, 3), "c": (0.3, 4)}, total, order)
-    assert sum(got.values()) == sum(want.values()) and (bucket_rows == 1000 or got.keys() == got.keys())
+    keys = {r.id: r.k for r in sized.select("id", mixing.random_key(F.col("id")).alias("k")).collect()}
+    assert min(keys.values()) >= 0
+    order = sorted(rows, key=lambda r: (keys[r[0]], r[0]))
+    for total in (150, 400):
+        want = brute_mix(rows, {"a": (0.5, 1), "b": (0.1, 3), "c": (0.3, 4)}, total, order)
+        for bucket_rows in (3, 20, 1000):
+            got = {(r.id, r.epoch): r.tokens for r in mixing.mix(sized, targets, total, bucket_rows=bucket_rows).collect()}
+            assert got == want
     for s, (share, cap) in {"a": (0.5, 1), "b": (0.1, 3), "c": (0.3, 4)}.items():
         ids = {i for i, x, _ in rows if x == s}
         have = sum(n for _, x, n in rows if x == s)
@@ -92,6 +94,16 @@ def test_mix_against_brute_force(spark, bucket_rows):
     assert sum(r.actual_share for r in sh.values()) == pytest.approx(1)
 
 
+def test_shortfalls_are_shared_out(spark):
+    """What one source cannot give goes to the others by their shares; where all are at their caps the mix is smaller."""
+    sized = spark.createDataFrame([(i, s, 10) for i, s in enumerate("a" * 10 + "b" * 10 + "c")], "id long, src string, n long")
+    targets = spark.createDataFrame([("a", 0.4, 4), ("b", 0.2, 4), ("c", 0.3, 2), ("none", 0.1, 9)], "source string, target_share double, max_repeats int")
+    got = {r.source: r for r in mixing.shares(mixing.mix(sized, targets, 200, fill=True), sized, targets, 200, fill=True).collect()}
+    assert got["c"].tokens == 20 and got["none"].tokens == 0 and got["a"].tokens == 120 and got["b"].tokens == 60
+    got = {r.source: r.tokens for r in mixing.shares(mixing.mix(sized, targets, 5000, fill=True), sized, targets, 5000, fill=True).collect()}
+    assert got == {"a": 400, "b": 400, "c": 20, "none": 0}
+
+
 def test_mix_edges(spark):
     docs = spark.createDataFrame([(1, "a b c", " SRC"), (2, None, "src"), (3, "", "src"), (None, "x", "src"), (1, "a b c", "src")], "doc_id long, text string, source string")
     targets = spark.createDataFrame([("Src", 1.0, 2)], "source string, target_share double, max_repeats int")
