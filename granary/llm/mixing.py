@@ -58,7 +58,8 @@ def _plan(sized: DataFrame, targets: DataFrame, total_tokens: int | None, fill:
         level = (F.col("planned") - F.col("before")) / F.col("after")
         first = F.when(level * share <= F.col("can"), F.struct(F.row_number().over(order).alias("at"), level.alias("level")))
         rows = rows.withColumn("first", first).withColumn("level", F.min("first").over(whole).getField("level"))
-        budget = F.floor(F.least(F.col("can").cast("double"), F.coalesce(F.col("level") * share, F.col("can").cast("double"))))
+        # Rounded first, as the level is a quotient.
+        budget = F.floor(F.round(F.least(F.col("can").cast("double"), F.coalesce(F.col("level") * share, F.col("can").cast("double"))), 3))
         rows = rows.withColumn("budget", budget.cast("long")).drop("can", "before", "after", "first", "level")
     else:
         rows = rows.withColumn("budget", F.floor(share * F.col("planned")).cast("long"))

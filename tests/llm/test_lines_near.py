@@ -7,6 +7,8 @@ import pyarrow as pa
 import pytest
 
 from granary.functions.wordruns import mix
+from pyspark.sql import functions as F
+
 from granary.llm import near_duplicates as near
 from granary.llm import repeated_lines as rep
 from granary.llm import sketch
@@ -34,8 +36,9 @@ def test_repeated_lines_against_brute_force(spark):
     for i, _, s, k in at:
         count.setdefault((s, k), set()).add(i)
     want = sorted((i, n) for i, n, s, k in at if len(count[s, k]) >= 10)
-    found = rep.repeated_places(df)
-    assert sorted((r.rec_id, r.line_no) for r in found.collect()) == want and want
+    for small in (0, 1000):
+        found = rep.repeated_places(df, small_lines=small)
+        assert sorted((r.rec_id, r.line_no) for r in found.collect()) == want and want
     clean = {r.rec_id: r for r in rep.remove_lines(df, found).collect() if r.rec_id is not None}
     gone = set(want)
     for r in rows:
@@ -46,6 +49,34 @@ def test_repeated_lines_against_brute_force(spark):
     assert rep.repeated_places(df.where("false")).count() == 0
 
 
+SPLIT = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+         "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.files.maxPartitionBytes": "20KB", "spark.sql.files.openCostInBytes": "1KB"}
+
+
+@pytest.fixture
+def split_early(spark):
+    old = {k: spark.conf.get(k) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_hot_line_is_split(spark, split_early):
+    """A line that half of all records carry: the lookup is by line and word, so no partition of it is large, and
+    the join of its words with the decision is one that can be split."""
+    df = spark.range(30_000).selectExpr("id as rec_id", "case when id % 2 = 0 then 'All rights\n' || 'only ' || id else 'alone x' || id end as text", "'a.test' as url", "'s' as source").withColumn("text", F.translate("text", "0123456789", "abcdefghij")).repartition(8)
+    places = rep.line_places(df, "rec_id", F.col("text"), F.col("url"))
+    words = rep.line_bitmaps(places)
+    assert words.groupBy("h1", "h2").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] == -(-30_000 // 64)
+    found = rep.repeated_places(df, small_lines=0)
+    assert found.count() == 15_000
+    found.collect()
+    sizes = [r.n for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
+
+
 def brute(texts, t=Fraction(4, 5)):
     sets = {}
     for i, x in texts:
