@@ -115,4 +115,8 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     from granary.plans.catalog import normal_sql
 
-    return {"p7_mix_words": sql.P7_MIX, "p7_shares_words": sql.P7_SHARES, "p4_found": sql.P4_FOUND, "p4_cleaned": sql.P4_CLEANED, "p5_found": sql.p5_found(normal_sql("(SELECT rec_id AS doc_id, text FROM data_pipeline WHERE text IS NOT NULL)"))}
+    normal = normal_sql("(SELECT rec_id AS doc_id, text FROM data_pipeline WHERE text IS NOT NULL)")
+    return {
+        "p4_found": sql.P4_FOUND, "p4_cleaned": sql.P4_CLEANED, "p5_found": sql.p5_found(normal), "p5_groups": sql.p5_groups(normal),
+        "p7_mix_words": sql.P7_MIX, "p7_shares_words": sql.P7_SHARES,
+    }

@@ -8,16 +8,19 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.wordruns import WordRuns, mix
-from granary.llm.sketch import count_table, log_codes
-from granary.session import materialize
+from granary.functions.wordruns import WordRuns
+from granary.operators.sketch import count_table, id_filter, keep_ids, log_codes, table_bits
+from granary.operators.skew import join_back
+from granary.session import discard, materialize
 
 THRESHOLD = Fraction(4, 5)
-DF_BITS = 24
-NEED_BITS = 25
+# Weight of a step of binary search against one of the merge, in the choice of the number of long lists.
+MU = 0.004
+PROBES = 32
 SET_SCHEMA = "id long, c1 long, c2 long, n int, items binary"
 
 
@@ -26,6 +29,13 @@ def need(n: np.ndarray, t: Fraction = THRESHOLD) -> np.ndarray:
     return -(-n * t.numerator // t.denominator)
 
 
+def long_lists(n: np.ndarray, longest: int, t: Fraction = THRESHOLD, mu: float = MU) -> np.ndarray:
+    """How many of the n lists of a set are set aside as long: L = T / (mu * log2 M + 1), where T is the least
+    overlap and M the length of the longest list of all; at most T - 1, so that T - L occurrences are left to count."""
+    least = need(n, t)
+    return np.maximum(0, np.minimum(least - 1, np.floor(least / (mu * np.log2(max(2, longest)) + 1)).astype(np.int64)))
+
+
 def shingle_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, 128-bit hash of the set (c1, c2), its size and its sorted 64-bit items.
 
@@ -52,82 +62,150 @@ def _flat(b: pa.RecordBatch, name: str = "items") -> np.ndarray:
     return np.frombuffer(b"".join(b.column(b.schema.get_field_index(name)).to_pylist()), np.uint64)
 
 
-def short_lists(sets: DataFrame, t: Fraction = THRESHOLD, df_bits: int = DF_BITS) -> DataFrame:
-    """Postings (token, c, n, pos) of the short inverted lists.
+class ListLengths:
+    """Lengths of the inverted lists, by item, from a count table over all sets; and how a set is divided by them."""
+
+    def __init__(self, codes: np.ndarray, longest: int, t: Fraction, mu: float):
+        self.codes, self.bits, self.longest, self.t, self.mu = codes, len(codes).bit_length() - 1, longest, t, mu
+
+    def divide(self, n: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order of the items h of sets of sizes n, shortest list first within each set; the place of each in
+        that order; and the number of short lists of each set."""
+        doc = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((h, self.codes[(h >> np.uint64(64 - self.bits)).astype(np.int64)], doc))
+        pos = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+        return order, pos, n - long_lists(n, self.longest, self.t, self.mu)
 
-    A partner shares T = ceil(t n) of the n items, so it is on at least one of any n - T + 1 of the set's
-    lists. These are the shortest, judged by item counts over all sets; the T - 1 longest lists are not
-    merged but probed afterwards. Copies of a set give the same postings; each task sends them once."""
-    spark = sets.sparkSession
-    codes = spark.sparkContext.broadcast(log_codes(count_table(sets.select("items"), _flat, df_bits)))
+
+def list_lengths(sets: DataFrame, t: Fraction = THRESHOLD, mu: float = MU) -> Broadcast:
+    """The table has about one cell for each item up to the largest size of ``sketch``; beyond that, lists that are
+    shorter than the noise of a cell (about three times the root of items by cells) come in any order. Which lists are
+    short decides how long the search takes and never what it finds."""
+    bits = table_bits(sets.agg(F.sum("n").alias("n")).first().n or 0)
+    counts = count_table(sets.select("items"), _flat, bits)
+    return sets.sparkSession.sparkContext.broadcast(ListLengths(log_codes(counts), int(counts.max()), t, mu))
+
+
+def set_classes(sets: DataFrame, lengths: Broadcast) -> DataFrame:
+    """(c1, c2, rep, n, short): one row for each different set, with its least id and the items of its short lists,
+    shortest first. Copies are brought together before any item leaves the row, so they add no postings; a set with many
+    copies is one row from each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = codes.value, set()
         for b in batches:
-            c1 = b.column(0).to_pylist()
-            new = []
-            for i, c in enumerate(c1):
-                if c not in seen:
-                    if len(seen) > 1_000_000:
-                        seen.clear()
-                    seen.add(c)
-                    new.append(i)
-            if not new:
+            if not b.num_rows:
                 continue
-            b = b.take(pa.array(new))
-            n = b.column(1).to_numpy().astype(np.int64)
+            n = b.column(3).to_numpy().astype(np.int64)
             h = _flat(b)
-            doc = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((h, table[(h >> np.uint64(64 - df_bits)).astype(np.int64)], doc))
-            pos = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-            keep = pos < (n - need(n, t) + 1)[doc]
-            doc = doc[keep]
-            c = b.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(h[order][keep].view(np.int64)), pa.array(c[doc]), pa.array(n[doc].astype(np.int32)), pa.array(pos[keep].astype(np.int32))], ["token", "c", "n", "pos"])
-
-    return sets.select("c1", "n", "items").mapInArrow(run, "token long, c long, n int, pos int")
-
-
-def candidates(postings: DataFrame, t: Fraction = THRESHOLD) -> DataFrame:
-    """Pairs (ca, cb) of sets that stand together on a short list and whose sizes and places on it still
-    allow the overlap T = ceil(t / (1 + t) (na + nb)). One exchange by token serves the removal of copies and
-    both sides of the join; AQE splits lists that are hot."""
-    one = postings.repartition("token").dropDuplicates(["token", "c", "n", "pos"])
-    a = one.select("token", F.col("c").alias("ca"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    b = one.select("token", F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    p, q = t.numerator, t.denominator
-    fits = (
-        ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ca") < F.col("cb"))))
-        & (F.col("na") * q >= F.col("nb") * p)
-        & ((1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1) * (p + q) >= (F.col("na") + F.col("nb")) * p)
-    )
-    return a.join(b, "token").where(fits).select("ca", "cb").distinct()
+            order, pos, short = lengths.value.divide(n, h)
+            keep = pos < np.repeat(short, n)
+            packed, ends = h[order][keep].tobytes(), np.cumsum(8 * short)
+            parts = pa.array([packed[e - 8 * k : e] for e, k in zip(ends.tolist(), short.tolist())], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), parts], ["id", "c1", "c2", "n", "short"])
 
+    rows = sets.mapInArrow(run, "id long, c1 long, c2 long, n int, short binary")
+    return rows.groupBy("c1", "c2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("short").alias("short"))
 
-def _probe(t: Fraction):
-    """Binary-probe the items of one set, long lists included, in the other; keep pairs with the overlap."""
+
+def short_lists(classes: DataFrame) -> DataFrame:
+    """Postings (token, rep, n, pos) of the short lists; pos counts from 0 in the order of the lists' lengths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
+            h = _flat(b, "short")
+            k = np.fromiter((len(x) // 8 for x in b.column(2).to_pylist()), np.int64, b.num_rows)
+            pos = np.arange(len(h)) - np.repeat(np.cumsum(k) - k, k)
+            doc = np.repeat(np.arange(b.num_rows), k)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(pa.array(doc)), b.column(1).take(pa.array(doc)), pa.array(pos.astype(np.int32))], ["token", "rep", "n", "pos"])
+
+    return classes.select("rep", "n", "short").mapInArrow(run, "token long, rep long, n int, pos int")
+
+
+def _long(n: Column, longest: int, t: Fraction, mu: float) -> Column:
+    """``long_lists`` as a column."""
+    least = F.ceil(n * t.numerator / F.lit(t.denominator))
+    return F.greatest(F.lit(0), F.least(least - 1, F.floor(least / F.lit(mu * float(np.log2(max(2, longest))) + 1))))
+
+
+def merge_short(postings: DataFrame, longest: int, t: Fraction = THRESHOLD, mu: float = MU) -> DataFrame:
+    """Pairs (a, b, hits): sets with their number of common short lists, where that is at least T - L.
+
+    The merge is a sort-merge join of the lists with themselves, and the count is taken by pair; T is the overlap
+    that the two sizes need, ceil(t / (1 + t) (na + nb)). Lists are in one order for all sets. Of two sets, let a's last
+    short list come no later than b's: then what they share among a's short lists is short for both, and only a's L long
+    lists can hold more of it. So hits >= T - max(La, Lb) for any pair that is to be found. A posting is skipped
+    where sizes, or the items before and after it, do not allow T. Both sides of the join are plain exchanges of the same
+    rows: adaptive execution reads one for both, and splits lists that are hot."""
+    a = postings.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
+    b = postings.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    p, q = t.numerator, t.denominator
+    na, nb, pa_, pb_ = (F.col(c) for c in ("na", "nb", "pa", "pb"))
+    reach = F.least(pa_, pb_) + 1 + F.least(na - pa_ - 1, nb - pb_ - 1)
+    fits = ((na < nb) | ((na == nb) & (F.col("a") < F.col("b")))) & (na * q >= nb * p) & (reach * (p + q) >= (na + nb) * p)
+    pairs = a.join(b, "token").where(fits).groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    least = F.ceil((na + nb) * p / F.lit(p + q))
+    return pairs.where(F.col("hits") >= least - F.greatest(_long(na, longest, t, mu), _long(nb, longest, t, mu))).select("a", "b", F.col("hits").cast("int").alias("hits"))
+
+
+def _found_in(x: np.ndarray, y: np.ndarray) -> int:
+    if not len(x) or not len(y):
+        return 0
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum())
+
+
+def probe_long(hits: int, x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], least: int) -> int:
+    """Overlap of two sets (short, long: sorted items), given their hits on short lists. Items on long lists are
+    looked up by binary search in the other set, some at a time, until ``least`` is out of reach; then -1."""
+    (xs, xl), (ys, yl) = x, y
+    for items, other in ((xl, yl), (xl, ys), (yl, xs)):
+        # An item of x's long lists is in one of y's halves, so the second look takes no more than is left.
+        for lo in range(0, len(items), PROBES):
+            hits += _found_in(items[lo : lo + PROBES], other)
+            if items is xl and other is yl and hits + len(xl) - min(len(xl), lo + PROBES) + min(len(xl), len(ys)) + min(len(yl), len(xs)) < least:
+                return -1
+    return hits
+
+
+def _verify(t: Fraction):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p, q = t.numerator, t.denominator
+        for b in batches:
+            cols = [b.column(i).to_pylist() for i in range(2, 7)]
             keep, sims = [], []
-            for i in range(b.num_rows):
-                u, v = np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64)
-                if len(u) > len(v):
-                    u, v = v, u
-                at = np.searchsorted(v, u)
-                at[at == len(v)] = 0
-                both = int((v[at] == u).sum())
-                union = len(u) + len(v) - both
-                if both * t.denominator >= t.numerator * union:
+            for i, (hits, sx, lx, sy, ly) in enumerate(zip(*cols)):
+                x, y = tuple(np.frombuffer(v, np.uint64) for v in (sx, lx)), tuple(np.frombuffer(v, np.uint64) for v in (sy, ly))
+                size = len(x[0]) + len(x[1]) + len(y[0]) + len(y[1])
+                both = probe_long(hits, x, y, -(-size * p // (p + q)))
+                if both * (p + q) >= size * p:
                     keep.append(i)
-                    sims.append(both / union)
+                    sims.append(both / (size - both))
             k = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(k), b.column(1).take(k), pa.array(sims, pa.float64())], ["a", "b", "similarity"])
 
     return run
 
 
+def _halves(lengths: Broadcast):
+    """(id, short, long): the items of each set by the length of their lists, each half sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            items = [np.frombuffer(x, np.uint64) for x in b.column(1).to_pylist()]
+            n = np.fromiter(map(len, items), np.int64, len(items))
+            h = np.concatenate(items)
+            order, pos, short = lengths.value.divide(n, h)
+            h, at = h[order], np.cumsum(n) - n
+            s = [np.sort(h[i : i + k]).tobytes() for i, k in zip(at, short)]
+            rest = [np.sort(h[i + k : i + m]).tobytes() for i, k, m in zip(at, short, n)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.binary()), pa.array(rest, pa.binary())], ["id", "short", "long"])
+
+    return run
+
+
 class NearDuplicates:
     """``members``: id, c1, c2, rep (least id with the same set). ``links``: a < b, similarity: pairs of
     representatives of different sets."""
@@ -144,62 +222,55 @@ class NearDuplicates:
         return across.unionByName(within).where("rec_id_a < rec_id_b").distinct()
 
 
-def near_duplicates(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", t: Fraction = THRESHOLD) -> NearDuplicates:
-    """T-occurrence search with lists divided into short and long ones.
+def near_duplicates(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", t: Fraction = THRESHOLD, mu: float = MU) -> NearDuplicates:
+    """T-occurrence search by DivideSkip.
 
-    1. Texts become sets of 64-bit items, kept as a table (forward lists). 2. Item counts over all sets, in a
-    table of fixed size, order the lists by length. 3. The short lists are merged by a sort-merge join on the
-    token. 4. The long lists are probed by binary search in the candidate's sorted items, which gives the exact
-    overlap. Nothing is dropped: for any pair at or above ``t`` the shared items cannot all be on long lists.
+    1. Texts become sets of 64-bit items, kept as a table. 2. A count table over all sets gives the lengths of the
+    inverted lists; each set divides its lists into L long ones and the short rest. 3. Short lists are merged and
+    occurrences counted by pair; pairs with T - L of them are candidates. 4. Long lists are probed by binary search for the
+    candidates, which gives the exact overlap, and those that reach T stay. No pair at or above ``t`` is lost.
 
-    Null and empty texts and null ids take no part; a repeated row changes nothing; equal sets are one class whose
-    least id represents it. A text of fewer than five words is one item. Other columns are ignored."""
+    Items are 64-bit and sets 128-bit hashes; the result is exact but for collisions of these. Null and empty texts and
+    null ids take no part; a repeated row changes nothing; equal sets are one class whose least id represents it. A
+    text of fewer than five words is one item. Other columns are ignored."""
     sets = materialize(shingle_sets(df, id_col, text_col), "sets", "none")
-    spark = df.sparkSession
-    found = materialize(candidates(short_lists(sets, t), t), "candidates")
-    heads = sets.select("id", "c1", "c2")
-    reps = heads.groupBy("c1", "c2").agg(F.min("id").alias("rep"))
-    ra, rb = reps.select(F.col("c1").alias("ca"), F.col("rep").alias("a")), reps.select(F.col("c1").alias("cb"), F.col("rep").alias("b"))
-    pairs = materialize(found.join(ra, "ca").join(rb, "cb").select("a", "b"), "rep-pairs")
+    lengths = list_lengths(sets, t, mu)
+    classes = materialize(set_classes(sets, lengths), "classes", "none")
+    pairs = materialize(merge_short(short_lists(classes), lengths.value.longest, t, mu), "candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    bits = NEED_BITS
-
-    def spread(x: np.ndarray) -> np.ndarray:
-        return mix(mix(x.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)))
-
-    wanted = spark.sparkContext.broadcast(np.packbits(count_table(ids, lambda b: spread(b.column(0).to_numpy()), bits) > 0))
-
-    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            k = (spread(b.column(0).to_numpy()) >> np.uint64(64 - bits)).astype(np.int64)
-            yield b.filter(pa.array((wanted.value[k >> 3] >> (7 - (k & 7)).astype(np.uint8)) & 1 == 1))
-
-    lists = sets.select("id", "items").mapInArrow(only, "id long, items binary")
-    la, lb = lists.select(F.col("id").alias("a"), F.col("items").alias("xa")), lists.select(F.col("id").alias("b"), F.col("items").alias("xb"))
-    links = pairs.join(la, "a").join(lb, "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "xa", "xb").mapInArrow(_probe(t), "a long, b long, similarity double")
-    members = heads.join(reps, ["c1", "c2"]).select("id", "c1", "c2", "rep")
+    lists = keep_ids(sets.select("id", "items"), id_filter(ids, 2 * pairs.count())).mapInArrow(_halves(lengths), "id long, short binary, long binary")
+    la, lb = lists.select(F.col("id").alias("a"), F.col("short").alias("sa"), F.col("long").alias("la")), lists.select(F.col("id").alias("b"), F.col("short").alias("sb"), F.col("long").alias("lb"))
+    both = pairs.join(la, "a").join(lb, "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "hits", "sa", "la", "sb", "lb")
+    links = both.mapInArrow(_verify(t), "a long, b long, similarity double")
+    members = sets.select("id", "c1", "c2").join(classes.select("c1", "c2", "rep"), ["c1", "c2"]).select("id", "c1", "c2", "rep")
     return NearDuplicates(members, materialize(links.dropDuplicates(["a", "b"]), "links"))
 
 
 def groups(found: NearDuplicates) -> DataFrame:
     """id, class_id (least id with an equal set), links (other classes it is linked to), group_id (least id of
     all records that are connected by links). Labels move by alternating large-star and small-star steps; each
-    round is written to the shared folder and holds no more rows than there are links."""
+    round is a table in the shared folder that replaces the one before, and holds no more rows than there are links. The
+    center of a star can have many rows; they are joined by ``join_back``."""
     edges = found.links.select("a", "b")
-    e, before = edges, None
+    e, before, last = edges, None, None
     while True:
-        both = e.union(e.select("b", "a"))
-        near = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(near, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a").select(F.col("b").alias("x"), "m").union(low.select(F.col("a").alias("x"), "m")).where("x <> m").distinct()
+        both = materialize(e.union(e.select("b", "a")), "both")
+        total = both.count()
+        near = both.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("m")).select("a", "n", F.least("a", "m").alias("m"))
+        large = join_back(both, near, "a", total).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        down = materialize(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), "down")
+        low = down.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("m"))
+        small = join_back(down, low, "a", total).select(F.col("b").alias("x"), "m").union(low.select(F.col("a").alias("x"), "m")).where("x <> m").distinct()
         e = materialize(small.select(F.col("x").alias("a"), F.col("m").alias("b")), "star")
+        for old in (both, down, *([last] if last is not None else [])):
+            discard(old)
+        last = e
         state = e.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("h")).first()
         if before == (state.n, state.h):
             break
         before = (state.n, state.h)
     label = e.groupBy(F.col("a").alias("rep")).agg(F.min("b").alias("root"))
     degree = edges.union(edges.select("b", "a")).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("links"))
-    m = found.members.join(label, "rep", "left").join(degree, "rep", "left")
-    return m.distinct().select("id", F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "rep").alias("group_id"))
+    known = materialize(found.members.select("rep").distinct().join(label, "rep", "left").join(degree, "rep", "left"), "labels")
+    m = found.members.join(known, "rep").distinct()
+    return m.select("id", F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "rep").alias("group_id"))

@@ -43,3 +43,17 @@ P7_MIX = f"WITH {P7_PLAN} SELECT * FROM m"
 P7_SHARES = f"""WITH {P7_PLAN}, g AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens FROM m GROUP BY source), x AS (SELECT b.*, coalesce(tokens, 0) AS tokens FROM b LEFT JOIN g USING (source))
 SELECT source, round(target_share, 9) AS target_share, max_repeats, documents, available, budget, tokens, round(CASE WHEN available > 0 THEN tokens / available END, 9) AS repeats, round(tokens / planned, 9) AS planned_share,
 round(tokens / sum(tokens) OVER (), 9) AS actual_share, tokens >= budget AS reached FROM x"""
+
+
+def p5_groups(normal: str) -> str:
+    """Classes of equal sets, links between their least members, and the least member of what they connect."""
+    pairs = p5_found(normal)
+    head, tail = pairs.rsplit("\nSELECT ", 1)
+    return head.replace("WITH ", "WITH RECURSIVE ", 1) + f""", pairs AS MATERIALIZED (SELECT {tail}),
+v AS (SELECT doc_id, list_sort(list(s)) AS v FROM s GROUP BY doc_id),
+m AS MATERIALIZED (SELECT doc_id AS rec_id, min(doc_id) OVER (PARTITION BY v) AS class_id FROM v),
+l AS MATERIALIZED (SELECT DISTINCT x.class_id AS a, y.class_id AS b FROM pairs JOIN m x ON x.rec_id = rec_id_a JOIN m y ON y.rec_id = rec_id_b WHERE x.class_id <> y.class_id),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach(x, y) AS (SELECT DISTINCT class_id, class_id FROM m UNION SELECT reach.x, e.b FROM reach JOIN e ON e.a = reach.y),
+g AS (SELECT x AS class_id, min(y) AS group_id FROM reach GROUP BY x), d AS (SELECT a AS class_id, count(*) AS links FROM e GROUP BY a)
+SELECT rec_id, class_id, coalesce(links, 0) AS links, group_id FROM m JOIN g USING (class_id) LEFT JOIN d USING (class_id)"""

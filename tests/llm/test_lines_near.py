@@ -3,15 +3,12 @@ import unicodedata
 from fractions import Fraction
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
-from granary.functions.wordruns import mix
 from pyspark.sql import functions as F
 
 from granary.llm import near_duplicates as near
 from granary.llm import repeated_lines as rep
-from granary.llm import sketch
 
 SCHEMA = "rec_id long, text string, url string, source string, id long, h1 string"
 
@@ -135,9 +132,46 @@ def test_no_texts(spark):
     assert found.pairs().count() == 0 and near.groups(found).count() == 0
 
 
-def test_count_table(spark):
-    df = spark.range(1000).selectExpr("id % 100 as x").repartition(5)
-    got = sketch.count_table(df, lambda b: mix(mix(b.column(0).to_numpy().astype(np.uint64) + np.uint64(1))), 18)
-    assert got.sum() == 1000 and (got > 0).sum() <= 100 and got.max() >= 10
-    assert sketch.count_table(df.where("false"), lambda b: np.zeros(b.num_rows, np.uint64), 16).sum() == 0
-    assert pa.__version__
+def test_long_lists_leave_occurrences_to_count():
+    n = np.array([1, 2, 5, 40, 100, 1000])
+    for longest in (1, 100, 10**9):
+        k = near.long_lists(n, longest)
+        assert (k >= 0).all() and (k < near.need(n)).all()
+    assert near.long_lists(np.array([1000]), 10**9)[0] < near.long_lists(np.array([1000]), 10)[0] < 800
+
+
+def test_probing_stops_only_below_the_threshold():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        x, y = (np.unique(rng.integers(0, 160, 120).astype(np.uint64)) for _ in range(2))
+        cut = int(rng.integers(0, 160))
+        half = lambda v: (v[v < cut], v[v >= cut])
+        both, hits = len(np.intersect1d(x, y)), len(np.intersect1d(half(x)[0], half(y)[0]))
+        least = int(rng.integers(1, 120))
+        got = near.probe_long(hits, half(x), half(y), least)
+        assert got == both or (got == -1 and both < least)
+
+
+@pytest.mark.parametrize("mu", [0.0, 0.004, 0.05, 1.0])
+def test_any_division_gives_the_same_pairs(spark, mu):
+    rows = texts(5, 25)
+    df = spark.createDataFrame(rows, "rec_id long, text string")
+    assert sorted((r.rec_id_a, r.rec_id_b) for r in near.near_duplicates(df, mu=mu).pairs().collect()) == brute(rows)
+
+
+def test_hot_list_is_split(spark, split_early):
+    """A token that half of all sets have on a short list: the merge is split."""
+    rows = spark.range(4000).selectExpr("case when id % 2 = 0 then -1L else id end as token", "id as rep", "cast(10 + id % 3 as int) as n", "cast(id % 2 as int) as pos").repartition(16)
+    merged = near.merge_short(rows, 2000)
+    assert len(merged.collect()) >= 0 and "skew=true" in merged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_groups_with_a_heavy_center(spark, monkeypatch):
+    from granary.operators import skew
+
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 20)
+    monkeypatch.setattr(skew, "HEAVY_KEYS", 10)
+    links = spark.createDataFrame([(5, i, 0.9) for i in range(6, 106)] + [(200, 201, 0.9)], "a long, b long, similarity double")
+    members = spark.createDataFrame([(i, i, i, i) for i in [*range(5, 106), 200, 201, 300]], "id long, c1 long, c2 long, rep long")
+    got = {r.id: (r.group_id, r.links) for r in near.groups(near.NearDuplicates(members, links)).collect()}
+    assert all(got[i] == (5, 1 if i > 5 else 100) for i in range(5, 106)) and got[201] == (200, 1) and got[300] == (300, 0)
