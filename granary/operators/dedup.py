@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from granary.functions.text import normalize_text, shingles, strip, text_hash
 from granary.functions.wordruns import WordRuns, run_hashes
-from granary.operators.sketch import count_table, id_filter, keep_ids, log_codes, table_bits
+from granary.operators.sketch import code_table, id_filter, keep_ids, table_bits
 from granary.operators.skew import HEAVY_ROWS, join_back
 from granary.session import discard, materialize
 
@@ -131,7 +131,7 @@ def jaccard_pairs(df: DataFrame, id_col: str, text_col: str = "text", threshold:
     p, q = threshold.numerator, threshold.denominator
     sets = materialize(_packed_sets(df, id_col, text_col), "sets", "none")
     bits = table_bits(sets.agg(F.sum("n").alias("n")).first().n or 0)
-    codes = df.sparkSession.sparkContext.broadcast(log_codes(count_table(sets.select("items"), _flat, bits)))
+    codes = df.sparkSession.sparkContext.broadcast(code_table(sets.select("items"), _flat, bits)[0])
     offer = sets.mapInArrow(_offers(codes, bits, p, q), "token long, id long, n int, pos int")
     cand = materialize(_meeting(offer, p, q), "pairs")
     ids = cand.select("a").union(cand.select("b"))

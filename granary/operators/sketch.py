@@ -40,13 +40,12 @@ def _sum(t: pa.Table) -> pa.Table:
     return pa.table([[t.column("chunk")[0].as_py()], [t.column("part")[0].as_py()], [_pack(total)]], schema=pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("packed", pa.binary())]))
 
 
-def count_table(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
-    """Counts of 64-bit hashes over all rows of ``df`` in 2**bits cells, chosen by the top bits.
+def _chunks(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """Counts of 64-bit hashes over all rows of ``df`` in 2**bits cells, chosen by the top bits, a chunk at a time.
 
     Every task counts into a table of its own, in 16 bits a cell; a full cell stays full, which only concerns values a
     task has more than 65,535 times. Tables travel compressed in chunks and are added up in a tree, at most 32 at a
     time, so neither a task nor the driver holds more than a fixed number of bytes however many tasks there are."""
-    bits = max(bits, CHUNK_BITS)
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -70,9 +69,16 @@ def count_table(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], b
     while width > 1:
         parts = parts.withColumn("part", F.expr(f"cast(part div {FAN_IN} as int)")).groupBy("chunk", "part").applyInArrow(_sum, schema)
         width = -(-width // FAN_IN)
-    total = np.zeros(1 << bits, np.uint32)
     for r in parts.select("chunk", "packed").toLocalIterator():
-        total[r.chunk << CHUNK_BITS : (r.chunk + 1) << CHUNK_BITS] += _unpack(bytes(r.packed))
+        yield slice(r.chunk << CHUNK_BITS, (r.chunk + 1) << CHUNK_BITS), _unpack(bytes(r.packed))
+
+
+def count_table(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
+    """All cells of the table."""
+    bits = max(bits, CHUNK_BITS)
+    total = np.zeros(1 << bits, np.uint32)
+    for at, n in _chunks(df, hashes, bits):
+        total[at] = n
     return total
 
 
@@ -81,6 +87,16 @@ def log_codes(counts: np.ndarray) -> np.ndarray:
     return np.minimum(255, np.round(8 * np.log2(1.0 + counts))).astype(np.uint8)
 
 
+def code_table(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> tuple[np.ndarray, int]:
+    """``log_codes`` of all cells, made chunk by chunk, and the greatest count."""
+    bits = max(bits, CHUNK_BITS)
+    codes, most = np.zeros(1 << bits, np.uint8), 0
+    for at, n in _chunks(df, hashes, bits):
+        codes[at] = log_codes(n)
+        most = max(most, int(n.max()))
+    return codes, most
+
+
 def _spread(x: np.ndarray) -> np.ndarray:
     return mix(mix(x.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)))
 
@@ -91,7 +107,10 @@ def id_filter(ids: DataFrame, n: int) -> Broadcast | None:
     bits = max(MIN_BITS, int(BITS_PER_ID * n).bit_length())
     if bits > MAX_BITS:
         return None
-    return ids.sparkSession.sparkContext.broadcast((bits, np.packbits(count_table(ids, lambda b: _spread(b.column(0).to_numpy()), bits) > 0)))
+    table = np.zeros((1 << bits) // 8, np.uint8)
+    for at, n in _chunks(ids, lambda b: _spread(b.column(0).to_numpy()), bits):
+        table[at.start // 8 : at.stop // 8] = np.packbits(n > 0)
+    return ids.sparkSession.sparkContext.broadcast((bits, table))
 
 
 def keep_ids(df: DataFrame, wanted: Broadcast | None) -> DataFrame:
