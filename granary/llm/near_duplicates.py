@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.wordruns import WordRuns
-from granary.operators.sketch import count_table, id_filter, keep_ids, log_codes, table_bits
+from granary.operators.sketch import code_table, id_filter, keep_ids, table_bits
 from granary.operators.skew import join_back
 from granary.session import discard, materialize
 
@@ -77,13 +77,13 @@ class ListLengths:
         return order, pos, n - long_lists(n, self.longest, self.t, self.mu)
 
 
-def list_lengths(sets: DataFrame, t: Fraction = THRESHOLD, mu: float = MU) -> Broadcast:
-    """The table has about one cell for each item up to the largest size of ``sketch``; beyond that, lists that are
+def list_lengths(sets: DataFrame, t: Fraction = THRESHOLD, mu: float = MU) -> tuple[Broadcast, int]:
+    """The lengths for all tasks, and that of the longest list. The table has about one cell for each item up to the largest size of ``sketch``; beyond that, lists that are
     shorter than the noise of a cell (about three times the root of items by cells) come in any order. Which lists are
     short decides how long the search takes and never what it finds."""
     bits = table_bits(sets.agg(F.sum("n").alias("n")).first().n or 0)
-    counts = count_table(sets.select("items"), _flat, bits)
-    return sets.sparkSession.sparkContext.broadcast(ListLengths(log_codes(counts), int(counts.max()), t, mu))
+    codes, longest = code_table(sets.select("items"), _flat, bits)
+    return sets.sparkSession.sparkContext.broadcast(ListLengths(codes, longest, t, mu)), longest
 
 
 def set_classes(sets: DataFrame, lengths: Broadcast) -> DataFrame:
@@ -234,9 +234,9 @@ def near_duplicates(df: DataFrame, id_col: str = "rec_id", text_col: str = "text
     null ids take no part; a repeated row changes nothing; equal sets are one class whose least id represents it. A
     text of fewer than five words is one item. Other columns are ignored."""
     sets = materialize(shingle_sets(df, id_col, text_col), "sets", "none")
-    lengths = list_lengths(sets, t, mu)
+    lengths, longest = list_lengths(sets, t, mu)
     classes = materialize(set_classes(sets, lengths), "classes", "none")
-    pairs = materialize(merge_short(short_lists(classes), lengths.value.longest, t, mu), "candidates")
+    pairs = materialize(merge_short(short_lists(classes), longest, t, mu), "candidates")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     lists = keep_ids(sets.select("id", "items"), id_filter(ids, 2 * pairs.count())).mapInArrow(_halves(lengths), "id long, short binary, long binary")
     la, lb = lists.select(F.col("id").alias("a"), F.col("short").alias("sa"), F.col("long").alias("la")), lists.select(F.col("id").alias("b"), F.col("short").alias("sb"), F.col("long").alias("lb"))
