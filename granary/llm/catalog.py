@@ -67,6 +67,12 @@ def p6_report(spark: SparkSession, sf: str) -> DataFrame:
     return packing.report(p6_packed(spark, sf))
 
 
+def p6_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Packing by words, which SQL can count, and whether every word has its place and no sequence is overfull."""
+    sized = _word_sizes(spark, sf).select(F.col("id").alias("doc_id"), F.col("n").alias("n_tokens"))
+    return packing.checked(packing.pack(sized, read_table(spark, sf, "pack_sizes")))
+
+
 def p7_mix(spark: SparkSession, sf: str) -> DataFrame:
     sized = mixing.sized_sources(read_table(spark, sf, "documents"))
     return mixing.mix(sized, read_table(spark, sf, "mix_targets")).withColumnRenamed("id", "doc_id")
@@ -109,7 +115,7 @@ def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p7_mix, p7_shares, p7_shares_filled, p7_mix_words, p7_shares_words, p8_found, p8_restored)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p6_words, p7_mix, p7_shares, p7_shares_filled, p7_mix_words, p7_shares_words, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -118,5 +124,5 @@ def oracle_sql() -> dict[str, str]:
     normal = normal_sql("(SELECT rec_id AS doc_id, text FROM data_pipeline WHERE text IS NOT NULL)")
     return {
         "p4_found": sql.P4_FOUND, "p4_cleaned": sql.P4_CLEANED, "p5_found": sql.p5_found(normal), "p5_groups": sql.p5_groups(normal),
-        "p7_mix_words": sql.P7_MIX, "p7_shares_words": sql.P7_SHARES,
+        "p6_words": sql.P6_WORDS, "p7_mix_words": sql.P7_MIX, "p7_shares_words": sql.P7_SHARES,
     }

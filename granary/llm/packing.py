@@ -6,7 +6,7 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +16,15 @@ from granary.session import materialize
 GROUP_ITEMS = 8_000
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 4096
-OPEN_SHARE = 0.5
+GROUPS_A_TASK = 50
 
 
-def pack_sizes(sizes: np.ndarray, capacity: int, linear: float = LINEAR_COST, quadratic: float = QUADRATIC_COST, open_share: float = OPEN_SHARE) -> np.ndarray:
+def pack_sizes(sizes: np.ndarray, capacity: int, linear: float = LINEAR_COST, quadratic: float = QUADRATIC_COST, open_share: float | None = None) -> np.ndarray:
     """Sequence number for each size (1..capacity). Sizes are taken in descending order; each goes to the
     sequence of least cost, ``linear * tokens + quadratic * sum(size ** 2)``, among those with room for it;
     where none has room a new one is opened. Ties go to the older sequence. ``open_share`` of the least number
-    of sequences are open from the start, so that costs are level from the first text on.
+    of sequences are open from the start, so that costs are level from the first text on; without it, all but a
+    third of the mean size by capacity: the smaller the texts, the more sequences can be filled to the brim.
 
     For each amount of room there is a heap of sequences by cost, and over the amounts a tree of least costs:
     one placement takes a number of steps in the logarithm of the capacity."""
@@ -58,6 +59,8 @@ def pack_sizes(sizes: np.ndarray, capacity: int, linear: float = LINEAR_COST, qu
         cost.append(0.0)
         return len(room) - 1
 
+    if open_share is None:
+        open_share = 1 - sizes.mean() / (3 * capacity) if len(sizes) else 0
     for _ in range(int(open_share * sizes.sum() / capacity)):
         push(open_())
     for i in np.argsort(-sizes, kind="stable"):
@@ -103,20 +106,23 @@ def pack(sized: DataFrame, capacities: DataFrame, id_col: str = "doc_id", group_
     and a rest that is packed; no other is split. Items without tokens, null ids and null or non-positive
     capacities give no row; a repeated row is an item of its own, equal capacity names stay apart by seq_len.
 
-    Items are spread by the hash of their id over groups of about ``group_items``, so no task holds more,
-    whatever the input; a group wastes at most what its last sequences leave open."""
+    Items are spread by the hash of their id over groups of about ``group_items``, so no task holds more at a time,
+    whatever the input; a group wastes at most what its last sequences leave open. A task takes up to fifty groups
+    one after the other, and no two tasks share one."""
     packs = [(r.pack_name, r.seq_len) for r in capacities.where("seq_len > 0").select("pack_name", "seq_len").distinct().collect()]
     packs.sort(key=lambda x: (x[1], x[0] or ""))
     n_groups = max(1, round(sized.count() / group_items))
+    tasks = max(min(n_groups, 4 * sized.sparkSession.sparkContext.defaultParallelism), -(-n_groups // GROUPS_A_TASK))
     items = sized.where(F.col(id_col).isNotNull() & (F.col("n_tokens") > 0)).select(
         F.col(id_col).cast("long").alias("id"), F.col("n_tokens").cast("long").alias("n"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_groups)).cast("int").alias("group_no")
     )
     schema = f"pack_name string, seq_len int, group_no int, seq_no int, {id_col} long, part_no int, first_token long, n_tokens int, seq_tokens int"
+    names, kinds = zip(*[x.strip().split(" ") for x in schema.split(",")])
+    arrow = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "id"], ascending=[False, True], kind="stable")
-        ids, n, group = pdf["id"].to_numpy(), pdf["n"].to_numpy(), int(pdf["group_no"].iloc[0])
-        frames = []
+    def place(ids: np.ndarray, n: np.ndarray, group: int) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((ids, -n))
+        ids, n = ids[order], n[order]
         for name, cap in packs:
             full, rest = n // cap, n % cap
             # Full pieces of long items.
@@ -126,20 +132,35 @@ def pack(sized: DataFrame, capacities: DataFrame, id_col: str = "doc_id", group_
             seq = pack_sizes(rest[r], cap)
             k = int(seq.max()) + 1 if len(seq) else 0
             used = np.bincount(seq, weights=rest[r], minlength=k).astype(np.int64)
-            order = np.nonzero(used)[0]
+            filled = np.nonzero(used)[0]
             number = np.zeros(max(k, 1), np.int64)
-            number[order] = np.arange(len(order))
-            frames.append(pd.DataFrame({
-                "pack_name": name, "seq_len": cap, "group_no": group,
-                "seq_no": np.concatenate([number[seq], len(order) + np.arange(len(long_))]),
-                id_col: np.concatenate([ids[r], ids[long_]]), "part_no": np.concatenate([full[r], part]),
-                "first_token": np.concatenate([full[r], part]) * cap,
-                "n_tokens": np.concatenate([rest[r], np.full(len(long_), cap)]),
-                "seq_tokens": np.concatenate([used[seq], np.full(len(long_), cap)]),
-            }))
-        return pd.concat(frames)
-
-    return items.groupBy("group_no").applyInPandas(place, schema)
+            number[filled] = np.arange(len(filled))
+            pieces = np.concatenate([full[r], part])
+            rows = len(pieces)
+            cols = (
+                [name] * rows, np.full(rows, cap), np.full(rows, group), np.concatenate([number[seq], len(filled) + np.arange(len(long_))]), np.concatenate([ids[r], ids[long_]]),
+                pieces, pieces * cap, np.concatenate([rest[r], np.full(len(long_), cap)]), np.concatenate([used[seq], np.full(len(long_), cap)]),
+            )
+            yield pa.RecordBatch.from_arrays([pa.array(c, arrow[t]) for c, t in zip(cols, kinds)], list(names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        group = -1
+        for b in batches:
+            ids, n, g = (b.column(i).to_numpy() for i in range(3))
+            cuts = [0, *(np.nonzero(np.diff(g))[0] + 1).tolist(), len(g)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo == hi:
+                    continue
+                if held and g[lo] != group:
+                    yield from place(*map(np.concatenate, zip(*held)), group)
+                    held = []
+                group = int(g[lo])
+                held.append((ids[lo:hi], n[lo:hi]))
+        if held:
+            yield from place(*map(np.concatenate, zip(*held)), group)
+
+    return items.repartitionById(tasks, F.expr(f"group_no % {tasks}").cast("int")).sortWithinPartitions("group_no").mapInArrow(run, schema)
 
 
 def pack_documents(df: DataFrame, capacities: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = tok.DEFAULT_NAME, folder: str = tok.DEFAULT_DIR) -> DataFrame:
@@ -160,3 +181,14 @@ def report(packed: DataFrame) -> DataFrame:
         (F.sum("tokens") / (F.count("*") * F.first("seq_len"))).alias("filled"),
         (F.stddev_pop("cost") / F.avg("cost")).alias("cost_spread"),
     )
+
+
+def checked(packed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """By capacity: items, pieces and tokens placed, sequences over their capacity, items that are split though they
+    fit, and items with a gap or an overlap between their pieces; the last three must be 0."""
+    seqs = packed.groupBy("pack_name", "seq_len", "group_no", "seq_no").agg(F.sum("n_tokens").alias("t")).groupBy("pack_name", "seq_len").agg(F.sum((F.col("t") > F.col("seq_len")).cast("long")).alias("overfull"))
+    items = packed.groupBy("pack_name", "seq_len", id_col).agg(F.count("*").alias("k"), F.sum(F.col("n_tokens").cast("long")).alias("t"), F.max(F.col("first_token") + F.col("n_tokens")).alias("end"))
+    by = items.groupBy("pack_name", "seq_len").agg(
+        F.count("*").alias("items"), F.sum("k").alias("pieces"), F.sum("t").alias("tokens"),
+        F.sum(((F.col("k") > 1) & (F.col("t") <= F.col("seq_len"))).cast("long")).alias("split"), F.sum((F.col("end") != F.col("t")).cast("long")).alias("gaps"))
+    return by.join(seqs, ["pack_name", "seq_len"]).select("pack_name", "seq_len", "items", "pieces", "tokens", "overfull", "split", "gaps")

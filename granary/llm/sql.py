@@ -57,3 +57,8 @@ e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
 reach(x, y) AS (SELECT DISTINCT class_id, class_id FROM m UNION SELECT reach.x, e.b FROM reach JOIN e ON e.a = reach.y),
 g AS (SELECT x AS class_id, min(y) AS group_id FROM reach GROUP BY x), d AS (SELECT a AS class_id, count(*) AS links FROM e GROUP BY a)
 SELECT rec_id, class_id, coalesce(links, 0) AS links, group_id FROM m JOIN g USING (class_id) LEFT JOIN d USING (class_id)"""
+
+
+P6_WORDS = r"""WITH z AS (SELECT doc_id, len(string_split(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')), ' ')) AS n FROM documents WHERE text IS NOT NULL)
+SELECT pack_name, seq_len, count(*) AS items, CAST(sum((n + seq_len - 1) // seq_len) AS BIGINT) AS pieces, CAST(sum(n) AS BIGINT) AS tokens, 0::BIGINT AS overfull, 0::BIGINT AS split, 0::BIGINT AS gaps
+FROM z, (SELECT DISTINCT pack_name, seq_len FROM pack_sizes WHERE seq_len > 0) WHERE n > 0 GROUP BY ALL"""
