@@ -60,6 +60,11 @@ def _ws() -> str:
     return re.sub(r"\\u([0-9a-f]{4})", r"\\x{\1}", re.sub(r"\\x([0-9a-f]{2})", r"\\x{\1}", WS))
 
 
+def white_space() -> str:
+    """``_ws`` for other catalogs."""
+    return _ws()
+
+
 @functools.lru_cache(maxsize=2)
 def _normal(source: str) -> str:
     """SQL of a table n(doc_id, n) of normalised texts. That engine lacks NFKC, so characters are replaced by
