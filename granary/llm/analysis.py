@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -60,7 +61,7 @@ class Analysis:
         known = segment_sum(words.known[ids], self.sent_n)
         self.line_known = segment_sum(known, per_line)
         self.line_known_max = self.line_known.max(1) if len(self.line_known) and self.line_known.shape[1] else np.zeros(len(self.lines))
-        self.line_common = segment_sum(segment_sum(words.common[ids], self.sent_n), per_line)
+        self.line_common = segment_sum(segment_sum(words.common[ids], self.sent_n), per_line)  # by language
         self.line_letters = segment_sum(self.sent_chars - self.sent_n, per_line)
         self.line_first = np.searchsorted(self.line_doc, np.arange(len(texts) + 1))
         self.sent_first = np.searchsorted(self.sent_line, self.line_first)
@@ -116,8 +117,13 @@ def _repeats(own: list) -> bool:
     return len(own) >= 12 and len(set(own)) <= 0.6 * len(own) and sum(c for _, c in Counter(own).most_common(4)) > TOP4_SHARE * len(own)
 
 
+# What a line that is not prose is, and by which rule.
+LINE_RULES = {"cells": "table", "items": "list", "items_in_row": "list", "repeated_words": "junk", "no_words": "junk", "unknown_words": "junk", "few_letters": "junk", "unknown_short_lines": "junk"}
+
+
 def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
-    """Kind of text d ("list", "table", "junk", or None for prose) and its characters by kind.
+    """Kind of text d ("list", "table", "junk", or None for prose) and its characters by the rule of LINE_RULES their
+    line fails ("prose" for none).
 
     Rows of three or more cells that agree in delimiter and number with a neighbour are a table. Runs of at
     least three lines that, without marker, price or address, have one to three words are a list, and so are
@@ -127,7 +133,7 @@ def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
     prose; the kind is the one with most of them."""
     lo, hi = a.line_first[d], a.line_first[d + 1]
     n = hi - lo
-    kind = [""] * n
+    kind = [""] * n  # the rule a line fails
     lines = a.lines[lo:hi]
     words = a.line_n[lo:hi].tolist()
     known = a.line_known_max[lo:hi].tolist()
@@ -157,12 +163,12 @@ def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
                     j += 1
                 if j - i >= 2 and (CELLS[p][0] != "|" or _piped([lines[k].strip() for k in solid[i:j]])):
                     for k in solid[i:j]:
-                        kind[k] = kind[k] or "table"
+                        kind[k] = kind[k] or "cells"
                 i = j
         ruled = set(range(n)) - set(solid)
         for i in ruled:
-            if (i and kind[i - 1] == "table") or (i + 1 < n and kind[i + 1] == "table"):
-                kind[i] = "table"
+            if (i and kind[i - 1] == "cells") or (i + 1 < n and kind[i + 1] == "cells"):
+                kind[i] = "cells"
     # Lists: items on lines of their own, then in a row.
     row = [0] * n
     for test, least in ((_item, MIN_RUN), (_items_in_row, MIN_INLINE_RUN)):
@@ -180,69 +186,103 @@ def nonprose(a: Analysis, d: int) -> tuple[str | None, dict[str, int]]:
                 continue
             if len(run) >= least:
                 for k in run:
-                    kind[k] = "list"
+                    kind[k] = "items" if test is _item else "items_in_row"
             run = []
     for i in range(n):
         if not kind[i] and row[i] >= MIN_INLINE:
-            kind[i] = "list"
+            kind[i] = "items_in_row"
     # Junk: first what looks like a list but says the same few words again and again.
-    listed = [i for i in range(n) if kind[i] == "list"]
+    listed = [i for i in range(n) if kind[i].startswith("items")]
     if listed and _repeats([w for i in listed for w in WORD.findall(TAIL.sub("", lines[i].strip()).lower())]):
         for i in listed:
-            kind[i] = "junk"
+            kind[i] = "repeated_words"
     else:
         for i in listed:
             if words[i] >= 12 and _few_words(a, lo, [i]):
-                kind[i] = "junk"
+                kind[i] = "repeated_words"
     rest = [i for i in range(n) if not kind[i]]
     for i in rest:
         w, line = words[i], lines[i]
         if w >= 6 and known[i] >= KNOWN_SHARE * w:
             if w >= 12 and _few_words(a, lo, [i]):
-                kind[i] = "junk"
+                kind[i] = "repeated_words"
             continue
         chars = len(line) - line.count(" ")
         if w == 0:
-            kind[i] = "junk" if chars >= 4 else ""
+            kind[i] = "no_words" if chars >= 4 else ""
         elif w >= 6 or chars > 60 or chars >= LONG_WORD * w:
-            kind[i] = "junk" if known[i] < KNOWN_SHARE * w else ""
+            kind[i] = "unknown_words" if known[i] < KNOWN_SHARE * w else ""
         elif a.line_letters[lo + i] < 0.3 * chars and chars >= 8:
-            kind[i] = "junk"
+            kind[i] = "few_letters"
     # Short lines together: those that are prose by themselves say nothing about them.
     short = [i for i in rest if not kind[i] and words[i] < 6]
     w = sum(words[i] for i in short)
     if short and w >= MIN_SHORT_WORDS and a.line_known[[lo + i for i in short]].sum(0).max() < (KNOWN_SHARE * w if w >= 8 else 1):
         for i in short:
-            kind[i] = "junk"
+            kind[i] = "unknown_short_lines"
     chars_by: Counter = Counter()
     for k, x in zip(kind, lines):
         chars_by[k or "prose"] += len(x.strip())
-    bad = {k: v for k, v in chars_by.items() if k != "prose"}
+    by_kind: Counter = Counter()
+    for k, v in chars_by.items():
+        if k != "prose":
+            by_kind[LINE_RULES[k]] += v
     total = sum(chars_by.values())
-    if total and 2 * sum(bad.values()) > total:
-        return max(sorted(bad), key=bad.get), dict(chars_by)
+    if total and 2 * sum(by_kind.values()) > total:
+        return max(sorted(by_kind), key=by_kind.get), dict(chars_by)
     return None, dict(chars_by)
 
 
-def languages(a: Analysis, d: int, models: LanguageModels, reject: np.ndarray) -> tuple[list[tuple[int, float, int, int]], int | None, float]:
+@dataclass(frozen=True)
+class Calibration:
+    """What held-out passages say about scores. ``limit``: highest cross-entropy per character that is accepted, by
+    language. ``slack``: a text judged as a whole may exceed it by this share over the root of its characters.
+    ``scale`` and ``power``: log probabilities per character count as if scale * characters ** power were independent."""
+
+    limit: np.ndarray
+    slack: float
+    scale: float
+    power: float
+
+    def accepts(self, k: int, score: np.ndarray, chars: float) -> bool:
+        return bool(chars > 0 and -score[k] / chars <= self.limit[k] * (1 + self.slack / np.sqrt(chars)))
+
+    def confidence(self, score: np.ndarray, chars: float) -> float:
+        """Posterior of the best language."""
+        n = max(chars, 1)
+        z = score / n * (self.scale * n**self.power)
+        return float(1 / np.exp(z - z.max()).sum())
+
+
+def languages(a: Analysis, d: int, models: LanguageModels, cal: Calibration) -> tuple[list[tuple[int, float, int, int]], int | None, float]:
     """Segments of text d: (language, confidence, first sentence, sentences), and language and confidence of all.
 
     The lowest cross-entropy per character decides; sentences of fewer than five words, and those whose lowest
     cross-entropy is above the calibrated limit of the language, carry no vote and belong to what surrounds
-    them. A change of language costs a fixed number of nats, so one odd sentence needs real evidence."""
+    them. A text none of whose sentences has a vote is judged as a whole, with the limit that goes with its length; if
+    it is above that, too, it is of no language known: no segment, None and 0. A change of language costs a fixed number
+    of nats, so one odd sentence needs real evidence."""
     lo, hi = a.sent_first[d], a.sent_first[d + 1]
     if hi == lo or not models.langs:
         return [], None, 0.0
     s, n, c = a.sent_score[lo:hi], a.sent_n[lo:hi], a.sent_chars[lo:hi]
-    best = s.argmax(1)
-    ok = (n >= MIN_WORDS) & (-s.max(1) <= reject[best] * np.maximum(c, 1))
-    total = s[ok].sum(0) if ok.any() else s.sum(0)
     if not n.sum():
         return [], None, 0.0
+    best = s.argmax(1)
+    ok = (n >= MIN_WORDS) & (-s.max(1) <= cal.limit[best] * np.maximum(c, 1))
     votes = np.nonzero(ok)[0]
-    if len(votes) == 0 or (best[votes] == best[votes[0]]).all():
+    if len(votes) == 0:
+        total, chars = s.sum(0), c.sum()
+        k = int(total.argmax())
+        if not cal.accepts(k, total, chars):
+            return [], None, 0.0
+        p = cal.confidence(total, chars)
+        return [(k, p, 0, hi - lo)], k, p
+    total, chars = s[ok].sum(0), c[ok].sum()
+    if (best[votes] == best[votes[0]]).all():
         k = int(total.argmax())
-        return [(k, _confidence(total, c[ok].sum() if ok.any() else c.sum()), 0, hi - lo)], k, _confidence(total, c.sum())
+        p = cal.confidence(total, chars)
+        return [(k, p, 0, hi - lo)], k, p
     cost = s[votes[0]].copy()
     from_ = []
     for i in votes[1:]:
@@ -263,29 +303,69 @@ def languages(a: Analysis, d: int, models: LanguageModels, reject: np.ndarray) -
         else:
             out.append([k, s[i].copy(), c[i], int(i) if out else 0])
     ends = [o[3] for o in out[1:]] + [hi - lo]
-    return [(o[0], _confidence(o[1], o[2]), o[3], e - o[3]) for o, e in zip(out, ends)], int(total.argmax()), _confidence(total, c.sum())
+    return [(o[0], cal.confidence(o[1], o[2]), o[3], e - o[3]) for o, e in zip(out, ends)], int(total.argmax()), cal.confidence(total, chars)
 
 
-def _confidence(score: np.ndarray, chars: float) -> float:
-    """Posterior of the best language from the length-normalised log probabilities, as if the text had at most 40 characters."""
-    z = score / max(chars, 1) * min(max(chars, 1), 40)
-    return float(1 / np.exp(z - z.max()).sum())
+def held_out(samples: list[tuple[str, str]], folds: int = 5) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Languages, and scores, characters, true language and words of pieces of samples under models that do not know
+    them: whole passages (words = 0) and their runs of 1, 2, 4, 8 and 16 words."""
+    langs = sorted({x for x, t in samples if x and t})
+    score, chars, true, words = [np.zeros((0, len(langs)))], [np.zeros(0)], [np.zeros(0, int)], [np.zeros(0, int)]
+    for f in range(folds):
+        m = LanguageModels([x for i, x in enumerate(samples) if i % folds != f])
+        if m.langs != langs:
+            continue
+        table = WordTable(m)
+        for size in (0, 1, 2, 4, 8, 16):
+            pieces, of = [], []
+            for i, (lang, text) in enumerate(samples):
+                if i % folds != f or not lang or not text:
+                    continue
+                w = WORD.findall(text.lower())
+                for lo in range(0, len(w), size or max(1, len(w))):
+                    if size == 0 or lo + size <= len(w):
+                        pieces.append(w[lo : lo + size] if size else w)
+                        of.append(langs.index(lang))
+            ids, n = table.lookup(pieces), np.fromiter(map(len, pieces), np.int64, len(pieces))
+            score.append(segment_sum(table.scores[ids], n))
+            chars.append(segment_sum(table.size[ids], n))
+            true.append(np.array(of, int))
+            words.append(np.full(len(pieces), size))
+    return langs, np.concatenate(score), np.concatenate(chars), np.concatenate(true), np.concatenate(words)
 
 
-def calibrate(samples: list[tuple[str, str]]) -> np.ndarray:
-    """Highest cross-entropy per character that is still accepted, by language: the largest one of held-out
-    samples under models of the others, and a margin of a tenth; five folds."""
-    full = LanguageModels(samples)
-    top = np.zeros(len(full.langs))
-    for f in range(5):
-        m = LanguageModels([x for i, x in enumerate(samples) if i % 5 != f])
-        if m.langs != full.langs:
-            continue
-        held = [x for i, x in enumerate(samples) if i % 5 == f and x[1] and x[0]]
-        a = Analysis([t.replace("\n", " ") for _, t in held], WordTable(m))
-        for d, (lang, _) in enumerate(held):
-            lo, hi = a.sent_first[d], a.sent_first[d + 1]
-            j = full.langs.index(lang)
-            if hi > lo and a.sent_chars[lo:hi].sum():
-                top[j] = max(top[j], -a.sent_score[lo:hi, j].sum() / a.sent_chars[lo:hi].sum())
-    return np.where(top > 0, top * 1.1, np.inf)
+def calibrate(samples: list[tuple[str, str]]) -> Calibration:
+    """Limits: the largest cross-entropy of a held-out passage under its own language, and a margin of a tenth. Slack:
+    what one in a hundred of the runs of one to eight words needs above that. Scale and power: those under which
+    the held-out pieces are most probable, among a grid."""
+    langs, score, chars, true, words = held_out(samples)
+    top = np.zeros(len(langs))
+    own = score[np.arange(len(true)), true] if len(true) else np.zeros(0)
+    entropy = -own / np.maximum(chars, 1)
+    for k in range(len(langs)):
+        mine = entropy[(true == k) & (words == 0) & (chars > 0)]
+        top[k] = mine.max() if len(mine) else 0
+    limit = np.where(top > 0, top * 1.1, np.inf)
+    short = (words > 0) & (words <= 8)
+    over = (entropy[short] / limit[true[short]] - 1) * np.sqrt(chars[short])
+    slack = max(0.0, float(np.quantile(over, 0.99))) if len(over) else 0.0
+    best = (np.inf, 1.0, 0.5)
+    n = np.maximum(chars, 1)
+    for power in np.arange(0.3, 1.01, 0.1):
+        for scale in 2.0 ** np.arange(-5, 4.1, 0.5):
+            z = score / n[:, None] * (scale * n**power)[:, None]
+            z = z - z.max(1, keepdims=True)
+            loss = float((np.log(np.exp(z).sum(1)) - z[np.arange(len(true)), true]).mean()) if len(true) else 0.0
+            best = min(best, (loss, float(scale), float(power)))
+    return Calibration(limit, slack, best[1], best[2])
+
+
+def reliability(samples: list[tuple[str, str]]) -> list[tuple[float, int, float, float]]:
+    """(lower edge, pieces, mean confidence, share right) by confidence, on pieces held out from models and, by halves,
+    from the calibration."""
+    langs, score, chars, true, _ = held_out(samples)
+    cal = calibrate(samples[::2])
+    p = np.array([cal.confidence(s, c) for s, c in zip(score, chars)])
+    right = score.argmax(1) == true
+    edges = (0.0, 0.5, 0.7, 0.8, 0.9, 0.95, 0.99, 1.01)
+    return [(lo, int(k.sum()), float(p[k].mean()), float(right[k].mean())) for lo, hi in zip(edges, edges[1:]) if (k := (p >= lo) & (p < hi)).any()]

@@ -25,23 +25,37 @@ def p1_languages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_budget(spark: SparkSession, sf: str) -> DataFrame:
-    df, models = read_table(spark, sf, "data_pipeline"), _models(spark, sf)
-    return token_budget.budget(df, models, token_budget.fit(df, models))
+    return token_budget.budget(read_table(spark, sf, "data_pipeline"), _models(spark, sf))
 
 
 def p2_errors(spark: SparkSession, sf: str) -> DataFrame:
-    df, models = read_table(spark, sf, "data_pipeline"), _models(spark, sf)
-    return token_budget.errors(df, models, token_budget.fit(df, models))
+    return token_budget.errors(read_table(spark, sf, "data_pipeline"), _models(spark, sf))
+
+
+def p2_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of the budget by source and domain, without their languages and tokens."""
+    return p2_budget(spark, sf).groupBy("source", "domain").agg(F.sum("n_records").alias("n_records"))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.text_quality(read_table(spark, sf, "data_pipeline"), _models(spark, sf)).where("kind is not null").select("rec_id", "kind")
+    return quality.not_prose(read_table(spark, sf, "data_pipeline"), _models(spark, sf)).select("rec_id", "kind")
+
+
+def p3_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    """The cases with the published rules and the line rules they fail."""
+    return quality.not_prose(read_table(spark, sf, "data_pipeline"), _models(spark, sf))
 
 
 def p3_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return quality.text_quality(read_table(spark, sf, "data_pipeline"), _models(spark, sf))
 
 
+def p3_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics that SQL can follow."""
+    s = p3_statistics(spark, sf)
+    return s.select("rec_id", "n_chars", "n_lines", "n_tokens", *[F.round(c, 9).alias(c) for c in ("hash_ratio", "ellipsis_ratio", "ellipsis_lines", "terminal_lines", "short_lines", "bullet_lines", "newline_ratio")])
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return rep.repeated_places(read_table(spark, sf, "data_pipeline"))
 
@@ -115,14 +129,14 @@ def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p3_found, p3_statistics, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p6_words, p7_mix, p7_shares, p7_shares_filled, p7_mix_words, p7_shares_words, p8_found, p8_restored)}
+    return {f.__name__: f for f in (p1_found, p1_languages, p2_budget, p2_errors, p2_records, p3_found, p3_reasons, p3_statistics, p3_figures, p4_found, p4_cleaned, p5_found, p5_groups, p6_packed, p6_report, p6_words, p7_mix, p7_shares, p7_shares_filled, p7_mix_words, p7_shares_words, p8_found, p8_restored)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from granary.plans.catalog import normal_sql
+    from granary.plans.catalog import normal_sql, white_space
 
     normal = normal_sql("(SELECT rec_id AS doc_id, text FROM data_pipeline WHERE text IS NOT NULL)")
     return {
         "p4_found": sql.P4_FOUND, "p4_cleaned": sql.P4_CLEANED, "p5_found": sql.p5_found(normal), "p5_groups": sql.p5_groups(normal),
-        "p6_words": sql.P6_WORDS, "p7_mix_words": sql.P7_MIX, "p7_shares_words": sql.P7_SHARES,
+        "p2_records": sql.P2_RECORDS, "p3_figures": sql.p3_figures(white_space()), "p6_words": sql.P6_WORDS, "p7_mix_words": sql.P7_MIX, "p7_shares_words": sql.P7_SHARES,
     }

@@ -17,9 +17,9 @@ BATCH = 1000
 
 
 def fit(samples: DataFrame, max_samples: int = MAX_SAMPLES) -> Broadcast:
-    """Models and rejection limits from labelled passages (columns sample_id, lang, text), at most
-    ``max_samples`` of them; broadcast, as their size is bounded by that sample."""
-    rows = samples.where("lang is not null and text is not null").orderBy("sample_id").select("lang", "text").limit(max_samples).collect()
+    """Models and calibration from labelled passages (columns sample_id, lang, text), at most ``max_samples`` of them,
+    chosen by the hash of their id; broadcast, as their size is bounded by that sample."""
+    rows = samples.where("lang is not null and text is not null").orderBy(F.xxhash64("sample_id"), "sample_id").select("lang", "text").limit(max_samples).collect()
     pairs = [(r.lang, r.text) for r in rows]
     return samples.sparkSession.sparkContext.broadcast((LanguageModels(pairs), calibrate(pairs)))
 
@@ -41,14 +41,15 @@ def analyse(df: DataFrame, models: Broadcast, id_col: str = "rec_id", text_col:
     """One row for each text that is not blank: id, ``kind`` (what is not prose, null for prose), ``lang`` and
     ``confidence`` of the whole, and ``segments`` (seg_no, lang, confidence, n_sentences).
 
-    Null, empty and blank texts and null ids give no row. A text without letters has lang null and no segment.
+    Null, empty and blank texts and null ids give no row. A text without letters, or in a language the models do not
+    know, has lang null, confidence 0 and no segment.
     Repeated rows give repeated rows. ``extra`` are string columns to carry along."""
     extra = extra or {}
     seg = pa.list_(pa.struct([("seg_no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("n_sentences", pa.int32())]))
     n_extra, names = len(extra), [*extra, "kind", "lang", "confidence", "segments"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, reject = models.value
+        m, cal = models.value
         words = WordTable(m)
         for b in batches:
             for lo in range(0, b.num_rows, BATCH):
@@ -58,7 +59,7 @@ def analyse(df: DataFrame, models: Broadcast, id_col: str = "rec_id", text_col:
                 kinds, langs, confs, segs = [], [], [], []
                 for d in range(len(texts)):
                     kinds.append(nonprose(a, d)[0])
-                    s, k, c = languages(a, d, m, reject)
+                    s, k, c = languages(a, d, m, cal)
                     langs.append(None if k is None else m.langs[k])
                     confs.append(c)
                     segs.append([{"seg_no": i + 1, "lang": m.langs[x[0]], "confidence": x[1], "n_sentences": int(x[3])} for i, x in enumerate(s)])

@@ -52,7 +52,11 @@ class LanguageModels:
                 keys.append(h[o])
                 rows.append(np.array([t[x] for x in g], np.float32).reshape(len(g), len(self.langs))[o])
         self.known = dict(self.known)
-        self.common = {w for ws in by.values() for w, _ in Counter(ws).most_common(COMMON_WORDS)}
+        self.common: dict[str, int] = defaultdict(int)
+        for j, lang in enumerate(self.langs):
+            for w, _ in Counter(by[lang]).most_common(COMMON_WORDS):
+                self.common[w] |= 1 << j
+        self.common = dict(self.common)
 
     def _train(self, words: list[str], j: int, size: int, prob: list, back: list) -> None:
         n = len(self.langs)
@@ -139,7 +143,7 @@ class WordTable:
         self.ids: dict[str, int] = {}
         n = len(self.m.langs)
         self.scores, self.size, self.known = np.zeros((0, n), np.float32), np.zeros(0, np.int32), np.zeros((0, n), np.int8)
-        self.common = np.zeros(0, np.int8)
+        self.common = np.zeros((0, n), np.int8)
 
     def lookup(self, per: list[list[str]]) -> np.ndarray:
         """Ids of all words, in order. Ids hold until the next call."""
@@ -152,7 +156,8 @@ class WordTable:
             known = np.array([self.m.known.get(w, 0) for w in new])
             self.scores = np.concatenate([self.scores, self.m.score(new)])
             self.size = np.concatenate([self.size, np.array([len(w) + 1 for w in new], np.int32)])
-            self.common = np.concatenate([self.common, np.array([w in self.m.common for w in new], np.int8)])
+            common = np.array([self.m.common.get(w, 0) for w in new])
+            self.common = np.concatenate([self.common, ((common[:, None] & self.bits) > 0).astype(np.int8)])
             self.known = np.concatenate([self.known, ((known[:, None] & self.bits) > 0).astype(np.int8)])
         return np.array(flat, np.int64)
 

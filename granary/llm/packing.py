@@ -23,8 +23,8 @@ def pack_sizes(sizes: np.ndarray, capacity: int, linear: float = LINEAR_COST, qu
     """Sequence number for each size (1..capacity). Sizes are taken in descending order; each goes to the
     sequence of least cost, ``linear * tokens + quadratic * sum(size ** 2)``, among those with room for it;
     where none has room a new one is opened. Ties go to the older sequence. ``open_share`` of the least number
-    of sequences are open from the start, so that costs are level from the first text on; without it, all but a
-    third of the mean size by capacity: the smaller the texts, the more sequences can be filled to the brim.
+    of sequences are open from the start, so that costs are level from the first text on; without it, all but
+    half of the mean size by capacity: the smaller the texts, the more sequences can be filled to the brim.
 
     For each amount of room there is a heap of sequences by cost, and over the amounts a tree of least costs:
     one placement takes a number of steps in the logarithm of the capacity."""
@@ -60,7 +60,7 @@ def pack_sizes(sizes: np.ndarray, capacity: int, linear: float = LINEAR_COST, qu
         return len(room) - 1
 
     if open_share is None:
-        open_share = 1 - sizes.mean() / (3 * capacity) if len(sizes) else 0
+        open_share = 1 - sizes.mean() / (2 * capacity) if len(sizes) else 0
     for _ in range(int(open_share * sizes.sum() / capacity)):
         push(open_())
     for i in np.argsort(-sizes, kind="stable"):

@@ -62,3 +62,21 @@ SELECT rec_id, class_id, coalesce(links, 0) AS links, group_id FROM m JOIN g USI
 P6_WORDS = r"""WITH z AS (SELECT doc_id, len(string_split(trim(regexp_replace(text, '[ \t\n\r]+', ' ', 'g')), ' ')) AS n FROM documents WHERE text IS NOT NULL)
 SELECT pack_name, seq_len, count(*) AS items, CAST(sum((n + seq_len - 1) // seq_len) AS BIGINT) AS pieces, CAST(sum(n) AS BIGINT) AS tokens, 0::BIGINT AS overfull, 0::BIGINT AS split, 0::BIGINT AS gaps
 FROM z, (SELECT DISTINCT pack_name, seq_len FROM pack_sizes WHERE seq_len > 0) WHERE n > 0 GROUP BY ALL"""
+
+
+P2_RECORDS = r"""SELECT source, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(regexp_extract(regexp_replace(regexp_replace(lower(url), '^\s+', ''), '^(?:[a-z][a-z0-9+.-]*:)?//', ''),
+'^[^/?#\\\s]*'), '^.*@', ''), ':[0-9]*$', ''), '^(www|m)\.', ''), ''), '') AS domain, count(*) AS n_records FROM data_pipeline WHERE length(text) > 0 GROUP BY ALL"""
+
+
+def p3_figures(ws: str) -> str:
+    """ws: class of white space in the notation of the other engine."""
+    marker = "^" + ws + "*(?:[*·•+»◦‣▪●○■□–—-]+|#" + ws + "?\\p{Nd}+|§" + ws + "*\\p{Nd}+|[(\\[]?\\p{Nd}{1,4}" + ws + "*[.)\\]:–-]+)" + ws + "+"
+    ends = "[.!?।॥…][\"''”’»)\\]]*" + ws + "*$"
+    return f"""WITH t AS (SELECT rec_id, text FROM data_pipeline WHERE regexp_replace(text, '{ws}+', '', 'g') <> ''),
+l AS (SELECT rec_id, x FROM (SELECT rec_id, unnest(string_split(text, chr(10))) AS x FROM t) WHERE regexp_replace(x, '{ws}+', '', 'g') <> ''),
+n AS (SELECT *, regexp_replace(x, '^{ws}+|{ws}+$', '', 'g') AS y FROM l),
+c AS (SELECT rec_id, count(*) AS n_lines, CAST(sum(len(regexp_split_to_array(y, '{ws}+'))) AS BIGINT) AS n_tokens, sum(length(x) - length(replace(x, '#', ''))) AS hashes,
+sum(length(x) - length(replace(x, '…', '')) + (length(x) - length(replace(x, '...', ''))) // 3) AS dots, avg((y LIKE '%…' OR y LIKE '%...')::INT) AS ellipsis_lines,
+avg(regexp_matches(x, '{ends}')::INT) AS terminal_lines, avg((length(x) < 30)::INT) AS short_lines, avg(regexp_matches(x, '{marker}')::INT) AS bullet_lines FROM n GROUP BY rec_id)
+SELECT rec_id, length(text) AS n_chars, n_lines, n_tokens, round(hashes / n_tokens, 9) AS hash_ratio, round(dots / n_tokens, 9) AS ellipsis_ratio, round(ellipsis_lines, 9) AS ellipsis_lines, round(terminal_lines, 9) AS terminal_lines,
+round(short_lines, 9) AS short_lines, round(bullet_lines, 9) AS bullet_lines, round((length(text) - length(replace(text, chr(10), ''))) / n_tokens, 9) AS newline_ratio FROM t JOIN c USING (rec_id)"""

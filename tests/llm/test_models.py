@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from granary.llm import langid, quality, token_budget
-from granary.llm.analysis import Analysis, calibrate, languages, nonprose
+from granary.llm.analysis import Analysis, calibrate, languages, nonprose, reliability
 from granary.llm.langmodel import LanguageModels, WordTable
 from granary.session import read_table
 
@@ -98,27 +98,89 @@ def test_quality_edges(spark, models):
     assert quality.text_quality(df.where("false"), models).count() == 0
 
 
+FOREIGN = {
+    "fr": "Le gouvernement a annoncé hier une nouvelle loi pour protéger les petites entreprises du pays. Elle entrera en vigueur au printemps.", "de": "Die Regierung hat gestern ein neues Gesetz angekündigt, das kleine Unternehmen schützen soll.",
+    "hr": "Vlada je jučer najavila novi zakon koji bi trebao zaštititi mala poduzeća u zemlji.", "ru": "Правительство вчера объявило о новом законе для защиты малого бизнеса в стране.", "bn": "সরকার গতকাল একটি নতুন আইন ঘোষণা করেছে যা ছোট ব্যবসা রক্ষা করবে",
+    "es": "El gobierno anunció ayer una nueva ley para proteger a las pequeñas empresas del país.", "sw": "Serikali ilitangaza jana sheria mpya ya kulinda biashara ndogo nchini kote",
+}
+
+
+def test_other_languages_are_rejected(samples, models):
+    m, cal = models.value
+    a = Analysis([*FOREIGN.values(), *[t for _, t in samples]], WordTable(m))
+    for d in range(len(FOREIGN)):
+        assert languages(a, d, m, cal) == ([], None, 0.0)
+    assert all(languages(a, len(FOREIGN) + d, m, cal)[1] == m.langs.index(lang) for d, (lang, _) in enumerate(samples))
+
+
+def test_own_texts_pass_the_limits_held_out(samples):
+    fit, held = [x for i, x in enumerate(samples) if i % 4], [x for i, x in enumerate(samples) if i % 4 == 0]
+    m, cal = LanguageModels(fit), calibrate(fit)
+    a = Analysis([t for _, t in held], WordTable(m))
+    assert sum(languages(a, d, m, cal)[1] is None for d in range(len(held))) <= 0.02 * len(held)
+
+
+def test_confidence_is_reliable(samples):
+    """Held-out pieces: the share that is right is no more than a little below the mean confidence in any bin."""
+    bins = reliability(samples)
+    assert len(bins) >= 5
+    for _, n, p, right in bins:
+        assert n < 100 or right > p - 0.08
+    assert bins[-1][3] > 0.99
+
+
+def test_every_case_has_its_reasons(spark, sf, models):
+    df = read_table(spark, sf, "data_pipeline")
+    cases = quality.not_prose(df, models).collect()
+    assert cases and {r.kind for r in cases} <= {"list", "table", "junk"}
+    for r in cases:
+        assert "not_prose" in r.reasons and sum(r.line_rules.values()) > 0.5
+    other = quality.text_quality(df, models).where("kind is null").collect()
+    assert all("not_prose" not in r.reasons and sum(r.line_rules.values()) <= 0.5 for r in other)
+
+
+def test_published_figures(spark, models):
+    text = "# one # two\n* item...\nA full line of words ends here with a stop.\nA full line of words ends here with a stop.\n\n12 -- the of"
+    r = quality.text_quality(spark.createDataFrame([(1, text)], "rec_id long, text string"), models).first()
+    assert (r.n_lines, r.n_tokens) == (5, 30) and r.hash_ratio == pytest.approx(2 / 30) and r.ellipsis_ratio == pytest.approx(1 / 30)
+    assert r.alphabetic_words == pytest.approx(25 / 30) and r.newline_ratio == pytest.approx(5 / 30) and r.bullet_lines == pytest.approx(1 / 5) and r.terminal_lines == pytest.approx(3 / 5)
+    assert r.duplicate_line_chars == pytest.approx(43 / sum(map(len, text.split("\n")))) and r.n_common >= 4 and "duplicate_line_chars" in r.reasons and "few_words" in r.reasons
+
+
 def test_features():
     x = token_budget.features(["ab 1,é", "", "අ්"])
-    f = dict(zip(token_budget.FEATURES, x[0]))
+    f = dict(zip(token_budget.FEATURES[2:], x[0]))
     assert f["bytes"] == 7 and f["words"] == 2 and f["latin"] == 2 and f["digits"] == 1 and f["punctuation"] == 1 and f["extended_latin"] == 1 and f["blanks"] == 1
-    assert x[1].tolist() == [0] * 11 + [1] and x[2][token_budget.FEATURES.index("marks")] == 1
+    assert f["runs"] == 4 and f["capitals"] == 0
+    assert x[1].tolist() == [0] * 13 + [1] and x[2][token_budget.FEATURES.index("marks") - 2] == 1
 
 
 def test_token_budget(spark, sf, models):
     df = read_table(spark, sf, "data_pipeline")
-    m = token_budget.fit(df, models)
-    e = token_budget.errors(df, models, m).collect()
+    e = token_budget.errors(df, models).collect()
     n, est = sum(r.n_tokens for r in e), sum(r.est_tokens for r in e)
     assert abs(est - n) < 0.05 * n
-    b = token_budget.budget(df, models, m)
+    b = token_budget.budget(df, models)
     assert b.columns == ["source", "lang", "domain", "n_records", "est_tokens"]
     assert b.agg(F.sum("n_records")).first()[0] == df.where("length(text) > 0").count()
-    odd = spark.createDataFrame([(1, None, None, None), (2, "", "", ""), (3, "...", None, None), (4, "the road", "http://WWW.a.test/", "s")], "rec_id long, text string, url string, source string")
-    got = {(r.source, r.lang, r.domain): r.n_records for r in token_budget.budget(odd.withColumn("domain", F.lit("clash")), models, m).collect()}
-    assert got[None, "und", ""] == 1 and sum(got.values()) == 2 and ("s", "a.test") in {(k[0], k[2]) for k in got}
-    empty = odd.where("false")
-    assert token_budget.budget(empty, models, token_budget.fit(empty, models)).count() == 0
+    odd = spark.createDataFrame([(1, None, None, None), (2, "", "", ""), (3, "...", None, None), (4, "the road to the market is open", "http://WWW.a.test/", "s"), (4, "the road to the market is open", "http://WWW.a.test/", "s")], "rec_id long, text string, url string, source string")
+    got = {(r.source, r.lang, r.domain): r.n_records for r in token_budget.budget(odd.withColumns({"domain": F.lit("clash"), "x": F.lit(1), "lang": F.lit("zz")}), models).collect()}
+    assert got[None, "und", ""] == 1 and sum(got.values()) == 3 and got["s", "en", "a.test"] == 2
+    assert token_budget.budget(odd.where("false"), models).count() == 0
+
+
+def test_sample_is_bounded_by_language(spark, models, samples):
+    """No language gives more than the bound; one with few texts stays near the weights of all."""
+    en, si = ([t for x, t in samples if x == k] for k in ("en", "si"))
+    rows = [(i, en[i % len(en)]) for i in range(300)] + [(1000 + i, si[i]) for i in range(30)]
+    df = spark.createDataFrame(rows, "rec_id long, text string")
+    table = token_budget.measured(df, models)
+    m = token_budget.fit(df, table, sample=100).value
+    assert set(m.weights) == {None, "en", "si"}
+    x = np.vstack([np.column_stack([np.zeros((5, 2)), token_budget.features(en[:5])])])
+    lone = token_budget.TokenModel(x, np.full(5, 40.0), ["en"] * 5, np.array([False, False, False, False, True]))
+    assert np.allclose(lone.estimate(x, ["en"] * 5), 40, rtol=0.2) and np.allclose(lone.estimate(x, ["xx"] * 5), lone.estimate(x, [None] * 5))
+    assert len(token_budget.TokenModel(np.zeros((0, len(token_budget.FEATURES))), np.zeros(0), [], np.zeros(0, bool)).estimate(np.zeros((0, len(token_budget.FEATURES))), [])) == 0
 
 
 def test_short_lines_are_judged_without_the_prose_of_the_record(models, samples):
