@@ -63,11 +63,12 @@ def text_quality(df: DataFrame, models: Broadcast, id_col: str = "rec_id", text_
                 size, blank = line(len), line(lambda x: x.count(" "))
                 tokens = [x.split() for x in a.lines]
                 n_tokens = per(np.fromiter(map(len, tokens), float, rows))
-                alphabetic = per(np.fromiter((sum(any(map(str.isalpha, w)) for w in t) for t in tokens), float, rows))
+                alphabetic = per(np.fromiter((sum([w[0].isalpha() or any(map(str.isalpha, w)) for w in t]) for t in tokens), float, rows))
                 n_lines, n_words, letters = per(np.ones(rows)), per(a.line_n), per(a.line_letters)
-                _, first = np.unique([f"{d}\n{x.strip()}" for d, x in zip(a.line_doc.tolist(), a.lines)], return_index=True)
-                again = np.ones(rows)
-                again[first] = 0
+                again, seen = np.zeros(rows), set()
+                for i, key in enumerate(zip(a.line_doc.tolist(), map(str.strip, a.lines))):
+                    again[i] = key in seen
+                    seen.add(key)
                 safe = lambda x, y: np.divide(x, y, out=np.zeros(n), where=y > 0)
                 kinds, prose, shares, lang = [], [], [], []
                 for d in range(n):
