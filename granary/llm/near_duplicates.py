@@ -19,7 +19,7 @@ from granary.session import discard, materialize
 
 THRESHOLD = Fraction(4, 5)
 # Weight of a step of binary search against one of the merge, in the choice of the number of long lists.
-MU = 0.004
+MU = 0.002
 PROBES = 32
 SET_SCHEMA = "id long, c1 long, c2 long, n int, items binary"
 
