@@ -361,8 +361,8 @@ def calibrate(samples: list[tuple[str, str]]) -> Calibration:
 
 
 def reliability(samples: list[tuple[str, str]]) -> list[tuple[float, int, float, float]]:
-    """(lower edge, pieces, mean confidence, share right) by confidence, on pieces held out from models and, by halves,
-    from the calibration."""
+    """(lower edge, pieces, mean confidence, share right) by confidence, on pieces held out from the models, with a
+    calibration by every other passage."""
     langs, score, chars, true, _ = held_out(samples)
     cal = calibrate(samples[::2])
     p = np.array([cal.confidence(s, c) for s, c in zip(score, chars)])
