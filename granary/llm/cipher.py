@@ -25,6 +25,9 @@ LEAST_SYMBOLS = 8
 # A byte of UTF-8 in three is the lead: share of the lead places that one symbol must hold.
 LEAD_SHARE = 0.6
 WIDTHS = (1, 3)
+# Parts of the passages, each held out once, and the least length of words with their blanks that has a mean to go by.
+FOLDS = 5
+LEAST_LINE = 22
 
 
 def _pairs(word: Iterable[str]) -> list[tuple[str, str]]:
@@ -36,38 +39,46 @@ class WordModel:
     """How often each pair of characters stands in the words of one language; the blank is character 0. ``limit`` is the
     least mean log probability of a character after another in held-out passages, less a tenth."""
 
-    def __init__(self, texts: list[str]):
-        self.chars, self.joint = self._count(texts)
+    limit = 0.0
+
+    def __init__(self, n: Counter):
+        """n: pairs of characters of the words of all passages."""
+        self.chars = [BLANK, *sorted({c for p in n for c in p} - {BLANK})]
         self.at = {c: i for i, c in enumerate(self.chars)}
-        self.cond = np.log(self.joint / self.joint.sum(1, keepdims=True))
-        means = []
-        for f in range(5):
-            chars, joint = self._count([t for i, t in enumerate(texts) if i % 5 != f])
-            at, cond = {c: i for i, c in enumerate(chars)}, np.log(joint / joint.sum(1, keepdims=True))
-            for t in texts[f::5]:
-                s = [cond[at[a], at[b]] if a in at and b in at else np.log(FLOOR) for w in RUN.findall(t) for a, b in _pairs(w)]
-                if len(s) > 20:
-                    means.append(np.mean(s))
-        self.limit = 1.1 * min(means) if means else 0.0
-
-    @staticmethod
-    def _count(texts: list[str]) -> tuple[list[str], np.ndarray]:
-        n: Counter = Counter(p for t in texts for w in RUN.findall(t) for p in _pairs(w))
-        chars = [BLANK, *sorted({c for p in n for c in p} - {BLANK})]
-        at = {c: i for i, c in enumerate(chars)}
-        joint = np.full((len(chars), len(chars)), 0.05)
+        joint = np.full((len(self.chars), len(self.chars)), 0.05)
         for (a, b), k in n.items():
-            joint[at[a], at[b]] += k
+            joint[self.at[a], self.at[b]] += k
         joint[0, 0] = 1e-6
-        return chars, joint / joint.sum()
+        self.joint = joint / joint.sum()
+        self.cond = np.log(self.joint / self.joint.sum(1, keepdims=True))
+
+    def scores(self, line: str) -> np.ndarray:
+        """Log probability of each character after the one before it."""
+        i = np.array([self.at.get(c, -1) for c in line], np.int64)
+        a, b = i[:-1], i[1:]
+        return np.where((a < 0) | (b < 0), np.log(FLOOR), self.cond[a, b])
+
+
+def word_line(text: str) -> str:
+    """The words of a text with one blank before and after each, empty if there are none: its neighbours are the pairs of all words."""
+    words = RUN.findall(text)
+    return BLANK + BLANK.join(words) + BLANK if words else ""
+
+
+def word_models(counts: dict[str, list[Counter]]) -> tuple[dict[str, WordModel], dict[str, list[WordModel]]]:
+    """Models of languages from the pairs of each fold of their passages, and those that leave one fold out."""
+    whole = {k: sum(v, Counter()) for k, v in sorted(counts.items())}
+    return {k: WordModel(n) for k, n in whole.items()}, {k: [WordModel(n - fold) for fold in counts[k]] for k, n in whole.items()}
 
 
-def word_models(samples: list[tuple[str, str]]) -> dict[str, WordModel]:
-    """Models of the languages whose texts are mostly not ASCII; others leave too few symbols of a cipher."""
-    by: dict[str, list[str]] = {}
-    for lang, text in samples:
-        by.setdefault(lang, []).append(text)
-    return {k: WordModel(v) for k, v in sorted(by.items()) if sum(map(len, (w for t in v for w in RUN.findall(t)))) > 0.5 * sum(len(t.replace(" ", "")) for t in v)}
+def least_mean(passages: Iterable[tuple[str, int, str]], rest: dict[str, list[WordModel]]) -> dict[str, float]:
+    """Least mean of the passages (language, fold, text) of each language under the model without their fold."""
+    least: dict[str, float] = {}
+    for lang, fold, text in passages:
+        m, line = rest[lang][fold], word_line(text)
+        if len(line) >= LEAST_LINE and len(m.chars) > 1:
+            least[lang] = min(least.get(lang, 0.0), float(np.mean(m.scores(line))))
+    return least
 
 
 def lead_of(runs: list[str]) -> str:

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import cipher
-from granary.llm.langmodel import MAX_SAMPLES
 from granary.llm.mixing import source_key
 from granary.session import materialize
 
@@ -201,13 +200,9 @@ def single_letters(c: str) -> tuple[str, ...]:
 class Bigrams:
     """Smoothed character bigrams of all languages together; scripts keep them apart."""
 
-    def __init__(self, passages: list[tuple[str, str]]):
-        """passages: (language, text)."""
-        self.words = cipher.word_models(passages)
-        pairs: Counter = Counter()
-        for _, t in passages:
-            s = EDGE + t.replace("\n", EDGE) + EDGE
-            pairs.update(zip(s, s[1:]))
+    def __init__(self, pairs: Counter, words: dict[str, cipher.WordModel]):
+        """pairs: neighbours in all passages with an edge before and after each; words: models of the languages."""
+        self.words = words
         self.chars = sorted({c for p in pairs for c in p} | set(TYPOGRAPHY) | {EDGE, " "})
         self.at = {c: i for i, c in enumerate(self.chars)}
         n = len(self.chars)
@@ -238,11 +233,63 @@ class Bigrams:
         return gap_r and x.islower() and (x, " ") in self.seen or x == "é" and (gap_r or "a" <= right <= "z")
 
 
-def fit(samples: DataFrame, max_samples: int = MAX_SAMPLES) -> Broadcast:
-    """Bigrams of at most ``max_samples`` passages (columns sample_id, lang, text), chosen by the hash of their id,
-    broadcast: the alphabets bound their size."""
-    rows = samples.where("text is not null").orderBy(F.xxhash64("sample_id"), "sample_id").select(F.coalesce("lang", F.lit("")).alias("lang"), "text").limit(max_samples).collect()
-    return samples.sparkSession.sparkContext.broadcast(Bigrams([(r.lang, r.text) for r in rows]))
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, fold, a, b, n), summed by task: neighbours in texts (no lang and fold) and in the words of a language and
+    fold; by language alone, twice the characters of its words less all but blanks."""
+    names = ["lang", "fold", "a", "b", "n"]
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64()]
+    sums: dict[tuple[str | None, int | None], Counter] = {}
+
+    def rows() -> pa.RecordBatch:
+        out = [(*of, *(k or (None, None)), v) for of, c in sums.items() for k, v in c.items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    for b in batches:
+        for lang, fold, t in zip(*(b.column(k).to_pylist() for k in range(3))):
+            s, line = EDGE + t.replace("\n", EDGE) + EDGE, cipher.word_line(t)
+            sums.setdefault((None, None), Counter()).update(zip(s, s[1:]))
+            sums.setdefault((lang, fold), Counter()).update(zip(line, line[1:]))
+            sums.setdefault((lang, None), Counter())[None] += 2 * (len(line) - line.count(" ")) - len(t.replace(" ", ""))
+        if sum(map(len, sums.values())) > 500_000:
+            yield rows()
+            sums.clear()
+    if sums:
+        yield rows()
+
+
+def _least(rest: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if least := cipher.least_mean(zip(*(b.column(k).to_pylist() for k in range(3))), rest.value):
+                yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.string()), pa.array(list(least.values()), pa.float64())], ["lang", "mean"])
+
+    return run
+
+
+def fit(samples: DataFrame) -> Broadcast:
+    """Bigrams of all passages (columns lang, text), broadcast. Pairs are summed and passages judged in the executors: the
+    alphabets bound what comes to the driver, not the passages. Equal passages are held out together.
+
+    Languages whose texts are mostly ASCII have no model of words, as they leave too few symbols of a cipher."""
+    context = samples.sparkSession.sparkContext
+    rows = samples.where("text is not null").select(F.coalesce("lang", F.lit("")).alias("lang"), F.pmod(F.xxhash64("text"), F.lit(cipher.FOLDS)).cast("int").alias("fold"), "text")
+    pairs: Counter = Counter()
+    by: dict[str, list[Counter]] = {}
+    foreign = set()
+    for r in rows.mapInArrow(_counted, "lang string, fold int, a string, b string, n long").groupBy("lang", "fold", "a", "b").agg(F.sum("n").alias("n")).collect():
+        if r.lang is None:
+            pairs[r.a, r.b] = r.n
+        elif r.fold is not None:
+            by.setdefault(r.lang, [Counter() for _ in range(cipher.FOLDS)])[r.fold][r.a, r.b] = r.n
+        elif r.n > 0:
+            foreign.add(r.lang)
+    words, rest = cipher.word_models({k: v for k, v in by.items() if k in foreign})
+    if words:
+        held = context.broadcast(rest)
+        for r in rows.where(F.col("lang").isin(list(words))).mapInArrow(_least(held), "lang string, mean double").groupBy("lang").agg(F.min("mean").alias("mean")).collect():
+            words[r.lang].limit = 1.1 * r.mean
+        held.unpersist()
+    return context.broadcast(Bigrams(pairs, words))
 
 
 def _wide_units(text: str, start: int, end: int, model: Bigrams) -> list[tuple[int, int, str]]:

@@ -152,3 +152,38 @@ def test_one_symbol_for_each_letter(spark, model, pages):
     back = {r.doc_id: r.text for r in garbled.restore(df, found, model).collect()}
     right = sum(a == b for i, t in enumerate(pages["si"]) for a, b in zip(back[i], t))
     assert right >= 0.97 * sum(map(len, pages["si"]))
+
+
+def test_every_passage_counts(spark):
+    """The passage that any choice of 20,000 by hash leaves out is the only one of its script."""
+    text = "பள்ளி மாணவர்கள் காலையில் நூலகம் சென்று புத்தகங்கள் படித்தனர்"
+    ids = spark.range(20_001).withColumnRenamed("id", "sample_id")
+    last = ids.orderBy(F.xxhash64("sample_id").desc(), F.desc("sample_id")).first().sample_id
+    own = F.col("sample_id") == last
+    m = garbled.fit(ids.select("sample_id", F.when(own, "ta").otherwise("en").alias("lang"), F.when(own, text).otherwise("the school is open").alias("text")))
+    assert m.value.words["ta"].joint.sum() == pytest.approx(1) and ("ப", "ள") in m.value.seen
+    assert m.value.p[m.value.at["t"], m.value.at["h"]] == pytest.approx(20_000.02 / (20_000 + 0.02 * len(m.value.chars)), rel=1e-5)
+    df = spark.createDataFrame([(1, page(text, "cp1252"), "s"), (2, text, "s")], "doc_id long, text string, source string")
+    found = garbled.find_garbled(df, m)
+    assert [r.id for r in found.documents().collect()] == [1]
+    assert [r.text for r in garbled.restore(df, found, m).collect()] == [text]
+
+
+def test_limits_follow_all_held_out_passages(spark, sf, model):
+    """Counts and limits of one pass over each passage, however the table is split; copies do not hold out each other."""
+    samples = read_table(spark, sf, "lang_samples")
+    passages = [(r.lang, r.fold, r.text) for r in samples.select("lang", F.expr("pmod(xxhash64(text), 5)").alias("fold"), "text").collect()]
+    for lang, m in model.value.words.items():
+        own = [(fold, garbled.cipher.RUN.findall(t)) for at, fold, t in passages if at == lang]
+        count = lambda rows: garbled.Counter(p for ws in rows for w in ws for p in garbled.cipher._pairs(w))
+        assert m.joint.tolist() == garbled.cipher.WordModel(count(ws for _, ws in own)).joint.tolist()
+        rest, means = [garbled.cipher.WordModel(count(ws for fold, ws in own if fold != k)) for k in range(5)], []
+        for fold, ws in own:
+            r = rest[fold]
+            s = [r.cond[r.at[a], r.at[b]] if a in r.at and b in r.at else -20.72326583694641 for w in ws for a, b in garbled.cipher._pairs(w)]
+            means += [sum(s) / len(s)] if len(s) > 20 else []
+        assert m.limit == pytest.approx(1.1 * min(means))
+    split = garbled.fit(samples.repartition(7)).value
+    assert split.p.tolist() == model.value.p.tolist() and {k: w.limit for k, w in split.words.items()} == {k: w.limit for k, w in model.value.words.items()}
+    twice = garbled.fit(samples.union(samples)).value
+    assert set(twice.words) == set(model.value.words) and all(twice.words[k].limit == pytest.approx(w.limit, rel=0.1) for k, w in model.value.words.items())
